@@ -1,0 +1,26 @@
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = (
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "6g")
+        .getOrCreate()
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    return s
+
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, texts, sources=None):
+    """A documents table of these texts; extra columns differ from real ones by case only."""
+    sources = sources or ["a"] * len(texts)
+    return spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, (t, s) in enumerate(zip(texts, sources))], DOCS)
