@@ -55,7 +55,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", own
     an ``example``. Opaque runs outside base spans become spans only when live; base spans always
     stay. Values travel as SHA-256 digests, pre-aggregated by (digest, owner, repository).
 
-    Returns a row per input row: id, ``base`` and ``found`` (arrays of start, kind, end, digest, in
+    Returns a row per input row: id, ``text_hash`` (xxhash64), ``base`` and ``found`` (arrays of start, kind, end, digest, in
     code points), ``n_live``, ``n_example``. A null text is empty and has no spans; null owners
     count as one owner; equal rows get equal results; ties of start go by kind; an empty table gives
     an empty result; other columns are ignored.
@@ -67,9 +67,9 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", own
     apart = lambda s: F.concat(F.filter(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     digest = lambda a: F.transform(a, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.sha2(s["value"], 256).alias("digest")))
     d = (
-        d.select("doc_id", F.coalesce(F.col("owner").cast("string"), F.lit("\x00")).alias("owner"), F.concat_ws("\x00", *[F.coalesce(F.col(r).cast("string"), F.lit("\x01")) for r in repo]).alias("repo"), F.col("text"), base.alias("base"))
+        d.select("doc_id", F.coalesce(F.col("owner").cast("string"), F.lit("\x00")).alias("owner"), F.concat_ws("\x00", *[F.coalesce(F.col(r).cast("string"), F.lit("\x01")) for r in repo]).alias("repo"), F.col("text"), F.xxhash64("text").alias("text_hash"), base.alias("base"))
         .withColumn("opaque", F.filter(spans(text, OPAQUE, 3), lambda s: F.size(apart(s)) == 0))
-        .select("doc_id", "owner", "repo", digest(F.col("base")).alias("base"), digest(F.col("opaque")).alias("opaque"))
+        .select("doc_id", "text_hash", "owner", "repo", digest(F.col("base")).alias("base"), digest(F.col("opaque")).alias("opaque"))
     )
     d = cut(d.withColumn("all", F.concat("base", "opaque")))  # the texts are scanned once
     with_any = d.where(F.size("all") > 0)
@@ -91,8 +91,8 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", own
         )
     )
     zero = F.lit(0).cast("long")
-    some = with_any.withColumn("key", key).join(cut(answered), "key").select("doc_id", "base", "found", "n_live", "n_example")
-    none = d.where(F.size("all") == 0).select("doc_id", "base", F.col("base").alias("found"), zero.alias("n_live"), zero.alias("n_example"))
+    some = with_any.withColumn("key", key).join(cut(answered), "key").select("doc_id", "text_hash", "base", "found", "n_live", "n_example")
+    none = d.where(F.size("all") == 0).select("doc_id", "text_hash", "base", F.col("base").alias("found"), zero.alias("n_live"), zero.alias("n_example"))
     return some.unionByName(none)
 
 
