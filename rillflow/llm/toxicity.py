@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -29,43 +28,65 @@ IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
 )
 WORDS = re.compile(r"\w+")
 THRESHOLD = 0.3
-MAX_PER_CLASS = 6000  # labelled rows of each class that the fit may see
+MAX_PER_CLASS = 4000  # labelled rows of each class that the fit may see
 CACHED = 200_000
 
 
-def features(word: str) -> list[str]:
-    """The word, its beginnings of 3 to 7 and its ends of 3 to 5 characters."""
-    n = len(word)
-    return [word, *(f"{word[:k]}+" for k in range(3, min(8, n))), *(f"+{word[-k:]}" for k in range(3, min(6, n)))]
+def features(word: str) -> list[tuple[int, int]]:
+    """Ids of the word, its beginnings of 3 to 7 and its ends of 3 to 5 characters.
 
+    An id is the feature's crc32. With each beginning comes the id of "two words share it", else 0.
+    """
+    n, crc = len(word), zlib.crc32
+    out = [(crc(word.encode()), 0)]
+    for k in range(3, min(8, n)):
+        raw = word[:k].encode() + b"+"
+        out.append((crc(raw), crc(raw + b"2")))
+    out += [(crc(b"+" + word[-k:].encode()), 0) for k in range(3, min(6, n))]
+    return out
 
-def of_words(words: Iterable[str], known: Mapping[str, Sequence[str]]) -> set[str]:
-    """A text's features from its distinct words; ``beginning+2`` says that two words or more share it."""
-    seen: set[str] = set()
-    twice: set[str] = set()
-    for w in words:
-        for f in known[w]:
-            (twice if f in seen else seen).add(f)
-    return seen | {f + "2" for f in twice if f[-1] == "+"}
 
+class _Features(dict):
+    """word -> its features, of which a model's scorer keeps those with a weight; starts anew when full."""
 
-class _All(dict):
-    """word -> its features, computed once."""
+    def __init__(self, weights: Mapping[int, float] | None = None):
+        super().__init__()
+        self.weights = weights
 
-    def __missing__(self, word: str) -> list[str]:
-        out = self[word] = features(word)
+    def __missing__(self, word: str) -> tuple[tuple[int, int], ...]:
+        if len(self) >= CACHED:
+            self.clear()
+        w = self.weights
+        out = self[word] = tuple(f for f in features(word) if w is None or f[0] in w or f[1] in w)
         return out
 
 
+def of_words(words: Iterable[str], known: Mapping[str, Sequence[tuple[int, int]]]) -> set[int]:
+    """The features of a text with these distinct words."""
+    seen: set[int] = set()
+    twice: set[int] = set()
+    for w in words:
+        for one, two in known[w]:
+            if one not in seen:
+                seen.add(one)
+            elif two:
+                twice.add(two)
+    return seen | twice
+
+
+def packed(words: Iterable[str], known: Mapping[str, Sequence[tuple[int, int]]]) -> bytes:
+    return np.sort(np.fromiter(of_words(words, known), dtype=np.uint32)).tobytes()
+
+
 @dataclass
 class Model:
     """Weights by feature, and the intercept; a text's logit sums the features that occur in it."""
 
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[int, float] = field(default_factory=dict)
     intercept: float = 0.0
 
     def scorer(self) -> Callable[[str | None], float]:
-        weights, known = self.weights, _Known(self.weights)
+        weights, known = self.weights, _Features(self.weights)
 
         def score(text: str | None) -> float:
             seen = of_words(set(WORDS.findall(text.lower())), known) if text else ()
@@ -75,81 +96,71 @@ class Model:
         return score
 
 
-class _Known(dict):
-    """word -> those of its features that have a weight, alone or as two."""
+def swaps(words: set[str], groups: Sequence[Sequence[str]]) -> list[set[str]]:
+    """The counterfactuals of a text: its identity terms neutral, and each by the next of its group."""
+    after = {t: g[(i + 1) % len(g)] for g in groups for i, t in enumerate(g)}
+    first = {t: g[0] for g in groups for t in g}
+    if not words & after.keys():
+        return []
+    return [{to.get(w, w) for w in words} for to in (first, after)]
 
-    def __init__(self, weights: dict[str, float]):
-        super().__init__()
-        self.weights = weights
 
-    def __missing__(self, word: str) -> tuple[str, ...]:
-        if len(self) >= CACHED:
-            self.clear()
-        out = self[word] = tuple(f for f in features(word) if f in self.weights or f + "2" in self.weights)
-        return out
+def fit_words(rows: Sequence[tuple[Iterable[str], int]], groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, **how) -> Model:
+    """Fits a model to (distinct lower-case words, label) rows; see ``fit_packed``."""
+    known = _Features()
+    return fit_packed([(packed(w, known), [packed(x, known) for x in swaps(set(w), groups)], y) for w, y in rows], groups, **how)
 
 
-def fit_words(rows: Sequence[tuple[Sequence[str], int]], groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, penalty: float = 5.0, l2: float = 3e-4, steps: int = 300, least: int = 3, max_features: int = 20_000) -> Model:
-    """Fits a model to (distinct lower-case words, label) rows.
+def fit_packed(rows: Sequence[tuple[bytes, Sequence[bytes], int]], groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, penalty: float = 5.0, l2: float = 3e-4, steps: int = 300, least: int = 3, max_features: int = 20_000) -> Model:
+    """Fits a model to (features, features of each counterfactual, label) rows.
 
     Features in at least ``least`` rows whose rates differ between the labels by more than chance
-    are kept (the ``max_features`` clearest). The loss is the mean logistic loss,
-    plus ``l2``, plus ``penalty`` times the mean squared change of the logit
-    when a row's identity terms are swapped for others of their group, the neutral one included.
+    are kept (the ``max_features`` clearest). The loss is the mean logistic loss, plus ``l2``, plus
+    ``penalty`` times the mean squared change of the logit when a row's identity terms are swapped
+    for others of their group, the neutral one included.
     """
-    labels = np.array([y for _, y in rows], dtype=float)
+    labels = np.array([y for *_, y in rows], dtype=float)
     n_pos, n_neg = labels.sum(), len(labels) - labels.sum()
     if not n_pos or not n_neg:
         rate = float(labels.mean()) if len(labels) else 0.0
         return Model(intercept=float(np.log((rate + 0.01) / (1.01 - rate))))
-    every = _All()
-    pos, neg = Counter(), Counter()
-    for words, y in rows:
-        (pos if y else neg).update(of_words(words, every))
-    scored = []
-    for f in pos.keys() | neg.keys():
-        a, b = pos[f], neg[f]
-        if a + b >= least:
-            p, q = (a + 0.5) / (n_pos + 1), (b + 0.5) / (n_neg + 1)
-            odds = np.log(p / q)
-            scored.append((abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)), f))
-    terms = {t for g in groups for t in g}
-    names = [f for z, f in sorted(scored, reverse=True)[:max_features] if z > 3]
-    names += sorted({f for t in terms for f in features(t) if pos[f] + neg[f] >= least} - set(names))
-    at = {f: i for i, f in enumerate(names)}
-    held: list[np.ndarray] = []
-    pairs: list[tuple[int, np.ndarray]] = []
-    by_term = {t: g for g in groups for t in g}
-    for i, (words, _) in enumerate(rows):
-        mine = set(words)
-        ids = {at[f] for f in of_words(mine, every) if f in at}
-        held.append(np.fromiter(sorted(ids), dtype=np.int64))
-        if hit := sorted(mine & by_term.keys()):
-            for turn in range(2):  # one swap to the neutral term, one to another that the row's number picks
-                other = {t: by_term[t][0] if not turn else by_term[t][(i + zlib.crc32(t.encode())) % len(by_term[t])] for t in hit}
-                swapped = {other.get(w, w) for w in mine}
-                pairs.append((i, np.fromiter(sorted({at[f] for f in of_words(swapped, every) if f in at}), dtype=np.int64)))
-    row = np.repeat(np.arange(len(held)), [len(h) for h in held])
-    col = np.concatenate(held) if len(row) else np.zeros(0, np.int64)
-    p_row = np.repeat(np.arange(len(pairs)), [len(p) for _, p in pairs])
-    p_col = np.concatenate([p for _, p in pairs]) if len(p_row) else np.zeros(0, np.int64)
-    origin = np.array([i for i, _ in pairs], dtype=np.int64)
-    share = np.full(len(labels), 1 / len(labels))
+
+    def counted(y: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(np.concatenate([np.frombuffer(r[0], np.uint32) for r in rows if r[2] == y]), return_counts=True)
+
+    (in_pos, k_pos), (in_neg, k_neg) = counted(1), counted(0)
+    ids = np.union1d(in_pos, in_neg)
+    a, b = np.zeros(len(ids)), np.zeros(len(ids))
+    a[np.searchsorted(ids, in_pos)], b[np.searchsorted(ids, in_neg)] = k_pos, k_neg
+    z = np.abs(np.log((a + 0.5) / (n_pos + 1)) - np.log((b + 0.5) / (n_neg + 1))) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    enough = a + b >= least
+    clear = np.lexsort((ids, -z))
+    clear = clear[(enough & (z > 3))[clear]][:max_features]
+    own = np.array(sorted({f for g in groups for t in g for f, _ in features(t)}), dtype=np.uint32)
+    names = np.union1d(ids[clear], np.intersect1d(own, ids[enough]))
+
+    def columns(packs: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        cols = [np.searchsorted(names, have[np.isin(have, names, assume_unique=True)]) for have in (np.frombuffer(p, np.uint32) for p in packs)]
+        return np.repeat(np.arange(len(packs)), [len(c) for c in cols]), np.concatenate(cols) if cols else np.zeros(0, np.int64)
+
+    row, col = columns([r[0] for r in rows])
+    origin = np.array([i for i, r in enumerate(rows) for _ in r[1]], dtype=np.int64)
+    p_row, p_col = columns([p for r in rows for p in r[1]])
     w, b = np.zeros(len(names)), 0.0
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for step in range(1, steps + 1):
-        z = np.bincount(row, w[col], minlength=len(held))
-        err = share * (1 / (1 + np.exp(-np.clip(z + b, -30, 30))) - labels)
+        z = np.bincount(row, w[col], minlength=len(rows))
+        err = (1 / (1 + np.exp(-np.clip(z + b, -30, 30))) - labels) / len(rows)
         grad = np.bincount(col, err[row], minlength=len(names)) + 2 * l2 * w
-        if len(pairs):
-            change = (z[origin] - np.bincount(p_row, w[p_col], minlength=len(pairs))) * (2 * penalty / len(pairs))
-            pull = np.bincount(origin, change, minlength=len(held))
+        if len(origin):
+            change = (z[origin] - np.bincount(p_row, w[p_col], minlength=len(origin))) * (2 * penalty / len(origin))
+            pull = np.bincount(origin, change, minlength=len(rows))
             grad += np.bincount(col, pull[row], minlength=len(names)) - np.bincount(p_col, change[p_row], minlength=len(names))
         g = np.append(grad, err.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]
-    return Model({f: float(x) for f, x in zip(names, w) if abs(x) > 1e-3}, float(b))
+    return Model({int(f): float(x) for f, x in zip(names, w) if abs(x) > 1e-3}, float(b))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -157,20 +168,35 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS, **how) -> Model:
+def featured_column(groups: Sequence[Sequence[str]]) -> Callable[[Column], Column]:
+    """A column function: whole text -> its features and those of its counterfactuals, packed."""
+
+    @F.arrow_udf("struct<own:binary,swapped:array<binary>>")
+    def featured(text: pa.Array) -> pa.Array:
+        known = _Features()
+        own, swapped = [], []
+        for t in text:
+            words = set(WORDS.findall((t.as_py() or "").lower()))
+            own.append(packed(words, known))
+            swapped.append([packed(x, known) for x in swaps(words, groups)])
+        return pa.StructArray.from_arrays([pa.array(own, pa.binary()), pa.array(swapped, pa.list_(pa.binary()))], ["own", "swapped"])
+
+    return featured
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS, groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, **how) -> Model:
     """Fits on at most ``max_per_class`` labelled rows of each class, first by hash of the id.
 
     Rows that ``held_out`` names and null labels are left out; of several labels of one id the
-    largest counts. Only the distinct words of the sampled rows reach the driver.
+    largest counts. Only the packed features of the sampled rows reach the driver.
     """
     known = pick(labels, doc_id="doc_id", y=label_col).where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("y") > 0).cast("int").alias("y"))
     order = F.xxhash64(F.lit(5), "doc_id")
     first = lambda y: known.where(F.col("y") == y).orderBy(order, "doc_id").limit(max_per_class)
     sample = F.broadcast(first(0).unionByName(first(1)))  # at most 2 * max_per_class rows of 12 bytes
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?U)\w+"), F.lit(0)))
-    rows = pick(docs, doc_id=id_col, text=text_col).join(sample, "doc_id").select("doc_id", words.alias("words"), "y").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.words))
-    return fit_words([(r.words, r.y) for r in rows], **how)
+    rows = pick(docs, doc_id=id_col, text=text_col).join(sample, "doc_id").select("doc_id", "y", featured_column(groups)(F.col("text")).alias("f")).collect()
+    rows.sort(key=lambda r: (r.doc_id, bytes(r.f.own)))
+    return fit_packed([(bytes(r.f.own), [bytes(x) for x in r.f.swapped], r.y) for r in rows], groups, **how)
 
 
 _scorers: dict[int, Callable[[str | None], float]] = {}
