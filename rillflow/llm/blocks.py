@@ -43,34 +43,38 @@ def _by_id(ids: np.ndarray, pos: np.ndarray) -> tuple[list[int], list[bytes]]:
     return ids[cuts].tolist(), [p.tobytes() for p in np.split(pos, cuts[1:])] if len(cuts) else []
 
 
-def _decided(keys: np.ndarray, ids: np.ndarray, first: bool) -> tuple[np.ndarray, np.ndarray]:
+def _decided(keys: np.ndarray, ids: np.ndarray, mode: str) -> tuple[np.ndarray, np.ndarray]:
     """Masks over the triples: which are decided here, and which to send on.
 
     ``first``: decided are those whose key a smaller id holds too, and those of the smallest go on.
-    Else decided are all whose key two ids hold, of which those of one smallest and one largest id
-    go on, and so do all others.
+    ``shared``: decided are all whose key two ids hold; of these, those of the smallest and of the
+    largest id go on. ``again``: decided are all whose key occurs twice; two of these go on. Keys
+    that nothing decides go on whole.
     """
     if not len(keys):
         return np.zeros(0, bool), np.zeros(0, bool)
     order, starts = _groups(keys)
     g = ids[order]
     size = np.diff(np.append(starts, len(g)))
-    low = np.repeat(np.minimum.reduceat(g, starts), size)
     done, send = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-    if first:
+    if mode == "again":
+        done[order] = np.repeat(size, size) > 1
+        send[order] = np.arange(len(g)) - np.repeat(starts, size) < 2
+        return done, send
+    low = np.repeat(np.minimum.reduceat(g, starts), size)
+    if mode == "first":
         done[order], send[order] = g > low, g == low
         return done, send
     high = np.repeat(np.maximum.reduceat(g, starts), size)
     done[order] = low != high
-    edge = (low == high) | (g == low) | (g == high)
-    send[order] = edge
+    send[order] = (low == high) | (g == low) | (g == high)
     return done, send
 
 
-def sent(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], bits: int, first: bool) -> Iterator[pa.RecordBatch]:
+def sent(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], bits: int, mode: str) -> Iterator[pa.RecordBatch]:
     """Chunks of (keys uint64, ids int64, positions) -> blocks by key range, and what is decided already."""
     for keys, ids, pos in gathered(chunks, bits):
-        done, send = _decided(keys, ids, first)
+        done, send = _decided(keys, ids, mode)
         who, at = _by_id(ids[done], pos[done])
         if who:
             none = [None] * len(who)
@@ -108,7 +112,7 @@ def gathered(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], bits:
         yield tuple(map(np.concatenate, zip(*held)))
 
 
-def settle(first: bool) -> Callable[[pa.Table], pa.Table]:
+def settle(mode: str) -> Callable[[pa.Table], pa.Table]:
     """The receiving group's function: the blocks of one key range -> decided (doc_id, at)."""
 
     def run(t: pa.Table) -> pa.Table:
@@ -118,17 +122,17 @@ def settle(first: bool) -> Callable[[pa.Table], pa.Table]:
             ids.append(np.cumsum(np.frombuffer(i, np.int64))[np.frombuffer(w, np.uint32)])
             pos.append(np.frombuffer(lo, np.uint16).astype(np.uint32) | np.frombuffer(hi, np.uint16).astype(np.uint32) << np.uint32(16))
         key, who, at = np.concatenate(keys), np.concatenate(ids), np.concatenate(pos)
-        done, _ = _decided(key, who, first)
+        done, _ = _decided(key, who, mode)
         names, places = _by_id(who[done], at[done])
         return pa.table([pa.array(names, pa.int64()), pa.array(places, pa.binary())], names=["doc_id", "at"])
 
     return run
 
 
-def exchanged(blocks: DataFrame, first: bool) -> DataFrame:
+def exchanged(blocks: DataFrame, mode: str) -> DataFrame:
     """Blocks of ``sent`` -> a row per id with all its decided positions: ``doc_id, at array<binary>``."""
     blocks = cut(blocks)
-    settled = blocks.where("bucket >= 0").groupBy("bucket").applyInArrow(settle(first), "doc_id long, at binary")
+    settled = blocks.where("bucket >= 0").groupBy("bucket").applyInArrow(settle(mode), "doc_id long, at binary")
     return settled.union(blocks.where("bucket < 0").select("doc_id", "at")).groupBy("doc_id").agg(F.collect_list("at").alias("at"))
 
 

@@ -10,10 +10,11 @@ from .bpe import op5_bpe
 from .jaccard import op2_jaccard
 from .mixing import op1_mixing
 from .secrets import op6_secrets
+from .substrings import op3_substrings
 from .toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_jaccard, op4_toxicity, op5_bpe, op6_secrets)
+    f.__name__: f for f in (op1_mixing, op2_jaccard, op3_substrings, op4_toxicity, op5_bpe, op6_secrets)
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_windows": OP9_SQL}
