@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import windows
 from .bpe import op5_bpe
+from .fingerprints import op8_order_minhash
 from .jaccard import op2_jaccard
 from .mixing import op1_mixing
 from .secrets import op6_secrets
@@ -14,7 +16,7 @@ from .substrings import op3_substrings
 from .toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_jaccard, op3_substrings, op4_toxicity, op5_bpe, op6_secrets)
+    f.__name__: f for f in (op1_mixing, op2_jaccard, op3_substrings, op4_toxicity, op5_bpe, op6_secrets, op8_order_minhash)
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_windows": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_windows": windows.OP9_SQL}
