@@ -25,10 +25,6 @@ COVER = (0, 1, 3)  # every difference modulo 7 is one of two members
 WINDOW = 2 * PERIOD - 1
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
-    return batch.column("text").cast(pa.binary()).to_pylist()
-
-
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -37,28 +33,29 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
     for batch in batches:
-        texts, ids = _texts(batch), _ids(batch)
-        for lo, hi in slices(texts):
-            w = Words(texts[lo:hi])
+        ids = _ids(batch)
+        for lo, texts in slices(batch.column("text")):
+            w = Words(texts)
             h = runs(w.hashes(), PERIOD)
             at = np.arange(len(h)) - w.first[w.doc[: len(h)]]
             last = w.first[w.doc[: len(h)] + 1] - w.first[w.doc[: len(h)]] - PERIOD
             keep = np.flatnonzero((at <= last) & cover[at % PERIOD])
-            yield h[keep], ids[lo:hi][w.doc[keep]], at[keep]
+            yield h[keep], ids[lo + w.doc[keep]], at[keep]
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Rows (doc_id, text, at: shared anchors) -> the whole windows that hold a shared anchor."""
     for batch in batches:
-        texts, ids, shared = _texts(batch), _ids(batch), batch.column("at").to_pylist()
-        for lo, hi in slices(texts):
-            w = Words(texts[lo:hi])
+        ids = _ids(batch)
+        for lo, texts in slices(batch.column("text")):
+            shared = batch.column("at").slice(lo, len(texts)).to_pylist()
+            w = Words(texts)
             h = runs(w.hashes(), WINDOW)
             out = []
-            for i in range(hi - lo):
+            for i in range(len(texts)):
                 first, n = int(w.first[i]), int(w.first[i + 1] - w.first[i]) - WINDOW + 1
                 if n > 0:
-                    p = positions(shared[lo + i]).astype(np.int64)
+                    p = positions(shared[i]).astype(np.int64)
                     edge = np.zeros(n + 1, np.int64)
                     np.add.at(edge, np.clip(p - PERIOD + 1, 0, n), 1)
                     np.add.at(edge, np.clip(p + 1, 0, n), -1)
@@ -82,20 +79,21 @@ def _among(bits: np.ndarray, inside: bool) -> Callable[[Iterator[pa.RecordBatch]
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, text, at: starts of repeated windows) -> words, removed words, kept text."""
     for batch in batches:
-        n_words, n_removed, kept = [], [], []
-        for t, at in zip(_texts(batch), batch.column("at").to_pylist()):
-            words = (t or b"").split()  # bytes.split() knows the same six separators
-            n_words.append(len(words))
-            if at:
-                edge = np.zeros(len(words) + WINDOW + 1, np.int64)
-                p = positions(at).astype(np.int64)
-                edge[p] += 1
-                edge[p + WINDOW] -= 1
-                stay = np.cumsum(edge)[: len(words)] == 0
-                words = [x for x, s in zip(words, stay) if s]
-            n_removed.append(n_words[-1] - len(words))
-            kept.append(b" ".join(words))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+        for lo, texts in slices(batch.column("text")):
+            n_words, n_removed, kept = [], [], []
+            for t, at in zip(texts, batch.column("at").slice(lo, len(texts)).to_pylist()):
+                words = (t or b"").split()  # bytes.split() knows the same six separators
+                n_words.append(len(words))
+                if at:
+                    edge = np.zeros(len(words) + WINDOW + 1, np.int64)
+                    p = positions(at).astype(np.int64)
+                    edge[p] += 1
+                    edge[p + WINDOW] -= 1
+                    stay = np.cumsum(edge)[: len(words)] == 0
+                    words = [x for x, s in zip(words, stay) if s]
+                n_removed.append(n_words[-1] - len(words))
+                kept.append(b" ".join(words))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, len(texts)), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
 
 def dedup_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -118,9 +116,9 @@ def dedup_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     def marked(found: DataFrame) -> np.ndarray:
         return bitmap(found, F.xxhash64("doc_id"), 26)
 
-    anchors = cut(exchanged(named.mapInArrow(lambda b: sent(_anchors(b), bits, False), SCHEMA), False))
+    anchors = cut(exchanged(named.mapInArrow(lambda b: sent(_anchors(b), bits, "shared"), SCHEMA), "shared"))
     around = among(marked(anchors), True).join(anchors, "doc_id")
-    repeated = cut(exchanged(around.mapInArrow(lambda b: sent(_windows(b), bits, True), SCHEMA), True))
+    repeated = cut(exchanged(around.mapInArrow(lambda b: sent(_windows(b), bits, "first"), SCHEMA), "first"))
     shape = "doc_id long, n_words long, n_removed long, kept string"
     none = F.lit(None).cast("array<binary>").alias("at")
     some = marked(repeated)
