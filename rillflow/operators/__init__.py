@@ -1 +1 @@
-"""Spark-first content corpus engine: operators."""
+"""Relational operators: planning, links, state, tallies, word repair, geometry."""
