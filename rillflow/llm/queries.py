@@ -10,6 +10,7 @@ from . import windows
 from .bpe import op5_bpe
 from .fingerprints import op8_order_minhash
 from .jaccard import op2_jaccard
+from .media import op10_media
 from .mixing import op1_mixing
 from .pages import op7_pages
 from .secrets import op6_secrets
@@ -18,7 +19,7 @@ from .toxicity import op4_toxicity
 from .windows import op9_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_jaccard, op3_substrings, op4_toxicity, op5_bpe, op6_secrets, op7_pages, op8_order_minhash, op9_windows)
+    f.__name__: f for f in (op1_mixing, op2_jaccard, op3_substrings, op4_toxicity, op5_bpe, op6_secrets, op7_pages, op8_order_minhash, op9_windows, op10_media)
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_windows": windows.OP9_SQL}
