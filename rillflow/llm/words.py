@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-SLICE = 1 << 20  # bytes of text handled at a time; a longer text is a slice of its own
+SLICE = 1 << 19  # bytes of text handled at a time; a longer text is a slice of its own
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -35,17 +37,18 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def slices(texts: Sequence[bytes | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that hold about ``SLICE`` bytes each."""
-    at = held = 0
-    for i, t in enumerate(texts):
-        n = len(t or b"")
-        if held and held + n > SLICE:
-            yield at, i
-            at, held = i, 0
-        held += n
-    if at < len(texts):
-        yield at, len(texts)
+def slices(texts: pa.Array) -> Iterator[tuple[int, list[bytes | None]]]:
+    """(first row, texts as UTF-8) for ranges of rows that hold about ``SLICE`` bytes each.
+
+    Only a range at a time is unpacked, so a worker's memory doesn't follow the batch's size.
+    """
+    upto = np.cumsum(np.append(0, pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+    at, n = 0, len(texts)
+    while at < n:
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + SLICE, side="right")) - 1)
+        yield at, texts.slice(at, end - at).cast(pa.binary()).to_pylist()
+        at = end
+    pa.default_memory_pool().release_unused()
 
 
 class Words:
@@ -82,16 +85,16 @@ def runs(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
-def shingle_sets(texts: Sequence[bytes | None], size: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     """Per text the sorted distinct hashes of its ``size``-word shingles, A-Z lowered.
 
     A text of fewer words has its whole sequence as its only shingle; one without words has none.
     """
-    for lo, hi in slices(texts):
-        w = Words(texts[lo:hi], lower=True)
+    for _, part in slices(texts):
+        w = Words(part, lower=True)
         h = w.hashes()
         s = runs(h, size)
-        for i in range(hi - lo):
+        for i in range(len(part)):
             a, b = int(w.first[i]), int(w.first[i + 1])
             if b - a >= size:
                 yield np.unique(s[a : b - size + 1])
