@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,8 +177,8 @@ def _asked(said: list[dict], kinds: tuple[int, ...]) -> np.ndarray:
     return np.unique(np.concatenate(found)).astype(np.int64) if found else np.zeros(0, np.int64)
 
 
-_FETCHED = ["hk", "lo", "hi", "shard", "twice", "part"]
-_FETCHED_TYPES = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.bool_(), pa.binary()]
+_FETCHED = ["hk", "lo", "hi", "shard", "anchor", "twice", "part"]
+_FETCHED_TYPES = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
 
 
 def _fetch(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -195,13 +196,13 @@ def _fetch(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                     mine = slice(of[i], of[i + 1])
                     whole = np.isin(s.lo[mine], _asked(answers, (WHOLE,)))
                     if whole.any():
-                        row = [ids[lo + i], s.lo[mine][whole].astype(np.uint32).tobytes(), s.hi[mine][whole].astype(np.uint32).tobytes(), None, None, None]
+                        row = [ids[lo + i], s.lo[mine][whole].astype(np.uint32).tobytes(), s.hi[mine][whole].astype(np.uint32).tobytes(), None, None, None, None]
                         for c, v in zip(cols, row):
                             c.append(v)
                     for kind in (SEND, SEND_TWICE):
                         for k in np.flatnonzero(np.isin(s.lo[mine], _asked(answers, (kind,)))) + of[i]:
                             part = texts[i][s.lo[k] : s.hi[k] + LENGTH]
-                            row = [ids[lo + i], np.uint32(s.lo[k]).tobytes(), None, int(s.anchor[k] >> np.uint64(64 - bits)), kind == SEND_TWICE, part]
+                            row = [ids[lo + i], np.uint32(s.lo[k]).tobytes(), None, int(s.anchor[k] >> np.uint64(64 - bits)), int(s.anchor[k].astype(np.int64)), kind == SEND_TWICE, part]
                             for c, v in zip(cols, row):
                                 c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _FETCHED_TYPES)], _FETCHED)
@@ -209,29 +210,47 @@ def _fetch(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
-def _sorted_shard(t: pa.Table) -> pa.Table:
-    """The segments of one shard -> (hk, lo, hi): starts whose string occurs twice in the shard."""
-    parts = t.column("part").to_pylist()
+def _again(parts: list[bytes], twice: list[bool]) -> list[np.ndarray]:
+    """Per segment the starts in it whose string occurs twice among all of them."""
     sizes = np.array([len(p) for p in parts])
     text = np.frombuffer(b"\x00".join(parts), np.uint8).astype(np.int16)
     begin = np.cumsum(np.append(0, sizes[:-1] + 1))
     s = np.append(text + 2, [1, 0]).astype(np.int16)
     s[begin[1:] - 1] = 1
-    weight = np.zeros(len(s), np.int64)
-    for b, n, twice in zip(begin, sizes, t.column("twice").to_pylist()):
-        weight[b : b + n - LENGTH + 1] = 2 if twice else 1
+    weight = np.zeros(len(s), np.int8)
+    for b, n, t in zip(begin, sizes, twice):
+        weight[b : b + n - LENGTH + 1] = 2 if t else 1
     sa = suffix_array(s)
     near = permuted_prefixes(s, sa, LENGTH)[sa] >= LENGTH
     runs = np.flatnonzero(~near)
-    total = np.repeat(np.add.reduceat(weight[sa], runs), np.diff(np.append(runs, len(sa))))
+    total = np.repeat(np.add.reduceat(weight[sa], runs, dtype=np.int64), np.diff(np.append(runs, len(sa))))
     again = np.zeros(len(s), bool)
     again[sa] = (total > 1) & (weight[sa] > 0)
-    ids, at = t.column("hk").to_pylist(), t.column("lo").to_pylist()
-    who, starts = [], []
-    for b, n, i, lo in zip(begin, sizes, ids, at):
-        if len(hit := np.flatnonzero(again[b : b + n - LENGTH + 1])):
-            who.append(i)
-            starts.append((hit + np.frombuffer(lo, np.uint32)[0]).astype(np.uint32).tobytes())
+    return [np.flatnonzero(again[b : b + n - LENGTH + 1]) for b, n in zip(begin, sizes)]
+
+
+def _sorted_shard(t: pa.Table) -> pa.Table:
+    """The segments of one shard -> (hk, lo, hi): starts whose string occurs twice.
+
+    Segments of different anchors hold different strings, so a shard is sorted in runs of whole
+    anchors of about ``SHARD_BYTES``, whatever its size.
+    """
+    t = t.sort_by("anchor")
+    anchors = t.column("anchor").to_numpy()
+    edges = np.append(_runs(anchors), len(anchors))
+    upto = np.cumsum(np.append(0, pc.binary_length(t.column("part")).to_numpy().astype(np.int64)))
+    who: list[int] = []
+    starts: list[bytes] = []
+    at = 0
+    while at < len(edges) - 1:
+        end = max(at + 1, int(np.searchsorted(upto[edges], upto[edges[at]] + SHARD_BYTES, side="right")) - 1)
+        run = t.slice(edges[at], edges[end] - edges[at])
+        found = _again(run.column("part").to_pylist(), run.column("twice").to_pylist())
+        for i, lo, hit in zip(run.column("hk").to_pylist(), run.column("lo").to_pylist(), found):
+            if len(hit):
+                who.append(i)
+                starts.append((hit + np.frombuffer(lo, np.uint32)[0]).astype(np.uint32).tobytes())
+        at = end
     return pa.table([pa.array(who, pa.int64()), pa.array(starts, pa.binary()), pa.array(starts, pa.binary())], names=["hk", "lo", "hi"])
 
 
@@ -307,7 +326,7 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sends = said.select(F.explode("said").alias("x")).where(F.col("x.kind").isin(SEND, SEND_TWICE)).agg(F.sum(F.octet_length("x.at") / 4)).first()[0] or 0
     shard_bits = max(6, int(np.ceil(np.log2(max(1, sends * 280 / SHARD_BYTES)))))
     named = text.mapInArrow(_among(bitmap(said, F.col("hk"), 26), True), "hk long, text string").join(said, "hk")
-    fetched = cut(named.mapInArrow(_fetch(shard_bits), "hk long, lo binary, hi binary, shard int, twice boolean, part binary"))
+    fetched = cut(named.mapInArrow(_fetch(shard_bits), "hk long, lo binary, hi binary, shard int, anchor long, twice boolean, part binary"))
     in_shards = fetched.where("part is not null").groupBy("shard").applyInArrow(_sorted_shard, "hk long, lo binary, hi binary")
     has_hot = said.where(F.exists("said", lambda x: x["kind"] == HOT))
     in_strings = text.mapInArrow(_among(bitmap(has_hot, F.col("hk"), 26), True), "hk long, text string").join(has_hot, "hk")

@@ -125,19 +125,19 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     Found for all positions at once, halving the step: prefix hashes tell whether a stretch is equal.
     """
     n = len(s)
-    before = np.zeros(n, np.int64)
+    before = np.zeros(n, np.int32)
     before[sa[1:]] = sa[:-1]
     before[sa[0]] = n - 1
     powers, back = _powers(_BASE, n + 1), _powers(pow(_BASE, -1, 1 << 64), n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_TABLE[s & 255] * powers[:n], out=total[1:])
-    here, there, shared = np.arange(n), before, np.zeros(n, np.int64)
+    here, there, shared = np.arange(n, dtype=np.int32), before, np.zeros(n, np.int32)
     step = 1 << max(0, int(most).bit_length() - 1)
     while step:
         a, b = here + shared + step, there + shared + step
         fits = (a <= n) & (b <= n)
         a, b, i, j = np.minimum(a, n), np.minimum(b, n), here + shared, there + shared
         same = fits & ((total[a] - total[i]) * back[i] == (total[b] - total[j]) * back[j])
-        shared = np.where(same, shared + step, shared)
+        shared += same * np.int32(step)
         step >>= 1
     return np.minimum(shared, most)
