@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, pick, table
+from .common import WORD, cut, pick, table
 
 BINS_LOG2 = 5  # components of a fingerprint
 TAKEN = 2  # k-mers of a component
@@ -18,52 +18,66 @@ def fingerprints(df: DataFrame, **texts: str) -> DataFrame:
     """Adds an Order MinHash fingerprint (array of longs) of each text column, as ``new=text``.
 
     K-mers are pairs of neighbouring words. Equal k-mers are numbered by occurrence, so each
-    (k-mer, number) is unique; its hash picks one of ``2**BINS_LOG2`` components and ranks it there.
-    Of each component the ``TAKEN`` minimal ones are put back in text order and their tuple hashed,
-    so a component survives an edit only with its k-mers and their order. Sort keys are single
-    longs, hash above and place below, which sort without a comparator. A text of one word has it as
-    its k-mer; an empty one has an empty fingerprint.
+    (k-mer, number) is unique; its hash (the k-mer's own for the first) picks one of
+    ``2**BINS_LOG2`` components and ranks it there. Of each component the ``TAKEN`` minimal ones are
+    put back in text order and their tuple hashed, so a component survives an edit only with its
+    k-mers and their order. Sort keys are single longs, hash above and place below, which sort
+    without a comparator; only k-mers that occur again are numbered one by one. A text of one word
+    has it as its k-mer; an empty one has an empty fingerprint.
     """
     low = (1 << PLACE) - 1
+    rest = (1 << (64 - BINS_LOG2)) - 1
     other = df.columns
-    word_cols = [F.filter(F.split(F.coalesce(F.col(t), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "").alias(f"__w_{n}") for n, t in texts.items()]
-    df = df.select(*other, *word_cols)
+    part = lambda x: F.shiftrightunsigned(x, 64 - BINS_LOG2)
+    kmer = lambda x: F.shiftrightunsigned(x, PLACE)
+    same = lambda x, y: kmer(x.bitwiseXOR(y)) == 0
+    none = F.array().cast("array<bigint>")
 
+    # Each step is a column of its own: an expression inside a lambda would be made anew for each element.
     def keyed(words: Column) -> Column:
-        pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.xxhash64(a, b))
-        pairs = F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.least(F.size(words), F.lit(1))))
-        return F.sort_array(F.transform(pairs, lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long").bitwiseAND(F.lit(low)))))
-
-    def numbered(s: Column, starts: Column) -> Column:
-        value = lambda x, nth: F.xxhash64(F.shiftrightunsigned(x, PLACE), nth).bitwiseAND(F.lit(~low)).bitwiseOR(x.bitwiseAND(F.lit(low)))
-        firsts = F.transform(starts, lambda a: value(F.element_at(s, a + 1), F.lit(0)))
-        ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(s)))
-        runs = F.filter(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda r: r["b"] - r["a"] > 1)
-        later = F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(r["a"] + 1, r["b"] - 1), lambda i: value(F.element_at(s, i + 1), i - r["a"]))))
-        return F.when(F.size(s) > 0, F.sort_array(F.concat(firsts, later))).otherwise(F.array().cast("array<bigint>"))
-
-    def started(s: Column) -> Column:
-        hash_ = lambda i: F.shiftrightunsigned(F.element_at(s, i), PLACE)
-        at = F.when(F.size(s) > 0, F.sequence(F.lit(0), F.size(s) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.filter(at, lambda i: F.when(i == 0, F.lit(True)).otherwise(hash_(i + 1) != hash_(i)))
+        key = lambda w, i: F.xxhash64(w, F.get(words, i + 1)).bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long").bitwiseAND(F.lit(low)))
+        keys = F.transform(words, key)  # of the last word alone too, which counts only if there is no other
+        return F.sort_array(F.slice(keys, 1, F.greatest(F.size(words) - 1, F.least(F.size(words), F.lit(1)))))
 
-    part = lambda x: F.shiftrightunsigned(x, 64 - BINS_LOG2)
-    least = lambda v: F.filter(v, lambda x, i: F.when(i < TAKEN, F.lit(True)).otherwise(part(F.element_at(v, i - TAKEN + 1)) != part(x)))
+    def least(v: Column) -> Column:
+        return F.filter(v, lambda x, i: F.when(i < TAKEN, F.lit(True)).otherwise(part(F.get(v, i - TAKEN).bitwiseXOR(x)) != 0))
+
+    def first(s: Column) -> Column:
+        return F.filter(s, lambda x, i: F.when(i == 0, F.lit(True)).otherwise(~same(F.get(s, i - 1), x)))
 
-    def tuples(v: Column) -> Column:
+    def again(s: Column) -> Column:
+        return F.filter(s, lambda x, i: F.when(i == 0, F.lit(False)).otherwise(same(F.get(s, i - 1), x)))
+
+    def numbered(r: Column) -> Column:
+        """Of k-mers that occur again, sorted: each with its number, 1 and up, in its hash."""
+        at = F.filter(F.sequence(F.lit(0), F.size(r) - 1), lambda i: F.when(i == 0, F.lit(True)).otherwise(~same(F.get(r, i - 1), F.get(r, i))))
+        value = lambda x, nth: F.xxhash64(kmer(x), nth).bitwiseAND(F.lit(~low)).bitwiseOR(x.bitwiseAND(F.lit(low)))
+        runs = lambda a: F.zip_with(a, F.concat(F.slice(a, 2, F.size(a)), F.array(F.size(r))), lambda x, y: F.transform(F.sequence(x, y - 1), lambda i: value(F.get(r, i), i - x + 1)))
+        return F.when(F.size(r) > 0, F.sort_array(F.flatten(F.aggregate(F.array(at), F.array().cast("array<array<bigint>>"), lambda _, a: runs(a))))).otherwise(none)
+
+    def paired(v: Column) -> Column:
         after = F.zip_with(v, F.concat(F.slice(v, 2, F.greatest(F.size(v), F.lit(1))), F.array(F.lit(None).cast("bigint"))), lambda x, y: F.struct(x.alias("x"), F.when(part(x) == part(y), y).alias("y")))
-        before = F.filter(after, lambda p, i: F.when(i == 0, F.lit(True)).otherwise(F.element_at(after, i)["y"].isNull()))
-        kmer = lambda x: F.shiftrightunsigned(x, PLACE)
+        return F.filter(after, lambda p: p["x"].isNotNull())
+
+    def tuples(pairs: Column) -> Column:
+        heads = F.filter(pairs, lambda p, i: F.when(i == 0, F.lit(True)).otherwise(F.get(pairs, i - 1)["y"].isNull()))
         in_order = lambda p: F.when(p["y"].isNotNull() & (p["y"].bitwiseAND(F.lit(low)) < p["x"].bitwiseAND(F.lit(low))), F.xxhash64(kmer(p["y"]), kmer(p["x"]))).otherwise(F.xxhash64(kmer(p["x"]), kmer(p["y"])))
-        rest = (1 << (64 - BINS_LOG2)) - 1
-        return F.transform(before, lambda p: p["x"].bitwiseAND(F.lit(~rest)).bitwiseOR(in_order(p).bitwiseAND(F.lit(rest))))
-
-    each = lambda f, a, b: [f(F.col(f"__{a}_{n}")).alias(f"__{b}_{n}") for n in texts]
-    df = df.select(*other, *each(keyed, "w", "s"))
-    df = df.select(*other, *[F.col(f"__s_{n}") for n in texts], *each(started, "s", "a"))
-    df = df.select(*other, *[numbered(F.col(f"__s_{n}"), F.col(f"__a_{n}")).alias(f"__v_{n}") for n in texts])
-    df = df.select(*other, *each(least, "v", "l"))
-    return df.select(*other, *[tuples(F.col(f"__l_{n}")).alias(n) for n in texts])
+        return F.transform(heads, lambda p: p["x"].bitwiseAND(F.lit(~rest)).bitwiseOR(in_order(p).bitwiseAND(F.lit(rest))))
+
+    def step(df: DataFrame, keep: list[str], **new: dict[str, Column]) -> DataFrame:
+        return df.select(*other, *[F.col(f"__{k}_{n}") for k in keep for n in texts], *[c.alias(f"__{k}_{n}") for k, by in new.items() for n, c in by.items()])
+
+    of = lambda f, k: {n: f(F.col(f"__{k}_{n}")) for n in texts}
+    df = step(df, [], w={n: F.regexp_extract_all(F.coalesce(F.col(t), F.lit("")), F.lit(WORD), F.lit(0)) for n, t in texts.items()})
+    df = step(df, [], s=of(keyed, "w"))
+    df = step(df, [], f=of(first, "s"), r=of(again, "s"))
+    df = step(df, ["r"], f=of(least, "f"))
+    df = step(df, ["f"], r=of(numbered, "r"))
+    df = step(df, ["f"], r=of(least, "r"))
+    df = step(df, [], v={n: F.sort_array(F.concat(f"__f_{n}", f"__r_{n}")) for n in texts})
+    df = step(df, [], v=of(least, "v"))
+    df = step(df, [], p=of(paired, "v"))
+    return df.select(*other, *[tuples(F.col(f"__p_{n}")).alias(n) for n in texts])
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -25,7 +25,7 @@ def brute(text):
     for place, k in enumerate(kmers):
         key = k >> 28
         nth = seen[key] = seen.get(key, -1) + 1
-        v = h64(struct.pack("<q", key), struct.pack("<i", nth)) >> 28
+        v = h64(struct.pack("<q", key), struct.pack("<i", nth)) >> 28 if nth else key
         parts.setdefault(v >> 31, []).append((v if v < 1 << 35 else v - (1 << 36), place, v))
     out = set()
     for part, found in parts.items():
