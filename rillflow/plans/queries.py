@@ -234,8 +234,8 @@ d2 AS (SELECT * FROM d1 UNION ALL SELECT * FROM r2), r3 AS (SELECT DISTINCT dst
 SELECT CAST(node AS BIGINT) AS node, CAST(round AS INTEGER) AS round FROM (SELECT * FROM d2 UNION ALL SELECT * FROM r3)"""
 )
 def linked_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "supplier").agg(F.count("*").alias("c"))
-    e = table(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_orderkey % 29 = 0").crossJoin(F.broadcast(n)).select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % F.col("c")).alias("dst")).distinct()
+    n = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
+    e = table(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_orderkey % 29 = 0").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % n).alias("dst")).distinct()
     return links.followed(e.agg(F.min("src").alias("node")), e)
 
 
