@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import windows
+from . import jaccard, windows
 from .bpe import op5_bpe
 from .fingerprints import op8_order_minhash
 from .jaccard import op2_jaccard
@@ -22,4 +22,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixing, op2_jaccard, op3_substrings, op4_toxicity, op5_bpe, op6_secrets, op7_pages, op8_order_minhash, op9_windows, op10_media)
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_windows": windows.OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_jaccard": jaccard.OP2_SQL, "op9_windows": windows.OP9_SQL}
