@@ -3,7 +3,7 @@ import struct
 
 import pyarrow.parquet as pq
 import xxhash
-from conftest import SF, documents
+from helpers import SF, documents
 
 from rillflow.llm.fingerprints import edited_likeness, fingerprints, op8_order_minhash
 

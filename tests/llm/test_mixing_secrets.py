@@ -2,7 +2,7 @@ import hashlib
 import re
 
 import pyarrow.parquet as pq
-from conftest import SF, documents
+from helpers import SF, documents
 
 from rillflow.llm.mixing import mix, op1_mixing, shards
 from rillflow.llm.secrets import op6_secrets, scan

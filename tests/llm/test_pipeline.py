@@ -2,7 +2,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pyarrow.parquet as pq
-from conftest import documents
+from helpers import documents
 from test_jaccard import brute
 from test_toxicity_bpe import reference
 

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
-from conftest import documents
+from helpers import documents
 
 from rillflow.llm import substrings
 from rillflow.llm.suffixes import permuted_prefixes, suffix_array

@@ -6,7 +6,7 @@ import zlib
 import public_tokenizers
 import pyarrow.parquet as pq
 import tiktoken
-from conftest import SF, documents
+from helpers import SF, documents
 
 from rillflow.llm.bpe import encode, op5_bpe
 from rillflow.llm.toxicity import IDENTITY_GROUPS, fit_words, op4_toxicity, toxicity

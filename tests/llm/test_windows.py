@@ -2,7 +2,7 @@ import random
 import re
 
 import duckdb
-from conftest import documents
+from helpers import documents
 
 from rillflow.llm.windows import OP9_SQL, dedup_windows, op9_windows
 
