@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, table
+from .common import added, pick, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CACHED = 150_000  # pre-tokens kept per worker; the cache starts anew when full
@@ -131,7 +131,7 @@ def encode(docs: DataFrame, *, text_col: str = "text", path: str | None = None,
     has no ids; texts of any length are encoded whole; rows are independent, so repeated rows get
     equal results; an empty table gives an empty result; other columns pass through untouched.
     """
-    return docs.withColumn("tokens", codec_column(docs.sparkSession, path, pattern)(F.col(text_col)))
+    return added(docs, text_col, tokens=codec_column(docs.sparkSession, path, pattern))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,20 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return flat.select(*out)
 
 
+def added(df: DataFrame, source: str, **new: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with columns made from its column ``source`` (exact match first), by position.
+
+    Other columns pass through, also such as repeat a name or differ by case; one that has the
+    name of a new column gives way to it.
+    """
+    names = df.columns
+    at = names.index(source) if source in names else [n.lower() for n in names].index(source.lower())
+    keep = [i for i, n in enumerate(names) if n.lower() not in {k.lower() for k in new}]
+    flat = df.toDF(*[f"c{i}" for i in range(len(names))])
+    out = flat.select(*[F.col(f"c{i}") for i in keep], *[f(F.col(f"c{at}")).alias(f"n{j}") for j, f in enumerate(new.values())])
+    return out.toDF(*[names[i] for i in keep], *new)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for cuts that driver and executors share: spark.checkpoint.dir where it is set."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -2,24 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import encode
-from .common import table
+from .common import pick, table
 from .jaccard import jaccard_classes
 from .mixing import mix
 from .secrets import scan
 from .toxicity import toxicity
 
 REDACTED = "[REDACTED]"
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def stage(f: Stage) -> Stage:
+    """Lets a stage see the columns of documents by name and all others by place; names come back after it.
+
+    So further columns, whatever they are called, neither clash nor change.
+    """
+
+    @wraps(f)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        own = {names.index(c): c for c in COLUMNS if c in names}
+        out = f(spark, docs.toDF(*[own.get(i, f"extra_{i}") for i in range(len(names))]), sf_dir)
+        return out.toDF(*names)
+
+    return run
 
 
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the toxicity classifier doesn't reject (score below 0.3); ``labels`` come from ``sf_dir``."""
     return toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 0").select(*docs.columns)
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group that links of 5-word shingles at Jaccard 0.8 join: that of the smallest id.
 
@@ -44,6 +67,7 @@ def redacted(text: Column, found: Column) -> Column:
     return F.aggregate(found, start, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
 
 
+@stage
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row; base spans and owner-specific opaque runs are replaced in ``text``, ``n_chars`` follows."""
     held = scan(docs).where(F.size("found") > 0).groupBy(F.col("doc_id").alias("held_id"), F.col("text_hash").alias("held_hash")).agg(F.first("found").alias("found"))
@@ -54,6 +78,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return out.select(*[change.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it: once for each epoch that takes at least half of its words.
 
@@ -69,6 +94,6 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every row: doc_id, source, n_tokens, ids (little-endian u32) and their digest, and whether they decode to the text."""
-    t = encode(docs)
+    t = encode(pick(docs, doc_id="doc_id", text="text", source="source"))
     same = F.col("tokens.decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return t.select("doc_id", "source", (F.length("tokens.ids") / 4).cast("long").alias("n_tokens"), "tokens.ids", F.sha2("tokens.ids", 256).alias("ids_sha256"), same.alias("round_trip"))

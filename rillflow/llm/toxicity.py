@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, table
+from .common import added, pick, table
 
 # Groups of identity terms that are swapped; the first of each is its neutral stand-in.
 IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
@@ -223,7 +223,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", thre
     kinds every row gets the base rate; an empty table gives an empty result; other columns pass through.
     """
     model = fit(docs, labels, text_col=text_col, **how)
-    return docs.withColumn("score", score_column(docs.sparkSession, model)(F.col(text_col))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = added(docs, text_col, score=score_column(docs.sparkSession, model))
+    return added(scored, "score", predicted=lambda s: (s >= threshold).cast("int"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,6 +81,16 @@ def test_edge_rows_pass_the_stages(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_clashing_columns_pass_the_stages(spark):
+    docs = documents(spark, ["a b c d e f", "a b c d e f", "token=abcdefgh"])
+    docs = docs.selectExpr("*", "'x' as TEXT", "1 as score", "'y' as found", "2 as kept_id", "3 as copies", "3 as copies")
+    for run in (stages.drop_toxic, stages.drop_near_copies, stages.redact_secrets, stages.mix_sources):
+        out = run(spark, docs, SF)
+        assert out.columns == docs.columns and out.count() > 0
+        assert {tuple(r)[5:] for r in out.collect()} == {("x", 1, "y", 2, 3, 3)}
+    assert stages.tokenize(spark, docs, SF).count() == 3
+
+
 def test_clean_documents_stay_in_filtering_stages(spark):
     labels = {r["doc_id"]: r["toxic"] for r in pq.read_table("/root/testdata/sf0.1/labels.parquet").to_pylist()}
     docs = table(spark, "/root/testdata/sf0.1", "documents")
