@@ -239,6 +239,20 @@ def linked_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.followed(e.agg(F.min("src").alias("node")), e)
 
 
+@query(
+    """WITH n AS (SELECT count(*) AS c FROM supplier), e AS (SELECT DISTINCT l_suppkey AS src, l_partkey % (SELECT c FROM n) AS dst FROM lineitem),
+r0 AS (SELECT min(src) AS node, 0 AS round FROM e), r1 AS (SELECT DISTINCT dst AS node, 1 AS round FROM r0 JOIN e ON node = src WHERE dst NOT IN (SELECT node FROM r0)),
+d1 AS (SELECT * FROM r0 UNION ALL SELECT * FROM r1), r2 AS (SELECT DISTINCT dst AS node, 2 AS round FROM r1 JOIN e ON node = src WHERE dst NOT IN (SELECT node FROM d1)),
+d2 AS (SELECT * FROM d1 UNION ALL SELECT * FROM r2), r3 AS (SELECT DISTINCT dst AS node, 3 AS round FROM r2 JOIN e ON node = src WHERE dst NOT IN (SELECT node FROM d2))
+SELECT CAST(node AS BIGINT) AS node, CAST(round AS INTEGER) AS round FROM (SELECT * FROM d2 UNION ALL SELECT * FROM r3)"""
+)
+def linked_rounds_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``linked_rounds`` over the edges of every lineitem row."""
+    n = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
+    e = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % n).alias("dst")).distinct()
+    return links.followed(e.agg(F.min("src").alias("node")), e)
+
+
 @query("SELECT user_id, min(props) AS props, CAST(min(event_id) AS BIGINT) AS first_event FROM events GROUP BY user_id, props")
 def dedup_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's distinct assets, the first wins."""
