@@ -282,12 +282,37 @@ def _dictionary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return d, d.where(once).select(F.replace("word", F.lit("th"), F.lit(words.LOST)).alias("word")).distinct()
 
 
+WHOLE_WORDS = r"unnest(regexp_extract_all(lower(text), '\p{L}+'))"
+
+
+@query(
+    f"""WITH w AS (SELECT {WHOLE_WORDS} AS word FROM documents), d AS (SELECT word, CASE WHEN count(*) > 100 THEN 10 WHEN count(*) > 10 THEN 35 ELSE 70 END AS tier FROM w GROUP BY 1),
+hurt AS (SELECT DISTINCT replace(word, 'th', chr(65533)) AS word FROM d WHERE word LIKE '%th%' AND length(word) - length(replace(word, 'th', '')) <= 6),
+g AS (SELECT unnest(['ti','tti','ft','tt','fi','fl','ff','ffi','ffl','tf','th']) AS g, unnest(range(11)) AS i),
+s AS (SELECT word, string_split(word, chr(65533)) AS s FROM hurt),
+c AS (SELECT word, s[1] || a.g || s[2] AS cand, a.i AS pos FROM s, g a WHERE len(s) = 2
+UNION ALL SELECT word, s[1] || a.g || s[2] || b.g || s[3], a.i * 11 + b.i FROM s, g a, g b WHERE len(s) = 3
+UNION ALL SELECT word, s[1] || a.g || s[2] || b.g || s[3] || c.g || s[4], (a.i * 11 + b.i) * 11 + c.i FROM s, g a, g b, g c WHERE len(s) = 4),
+t AS (SELECT c.word, cand, pos, coalesce(a.tier, b.tier) AS tier FROM c LEFT JOIN d a ON a.word = cand LEFT JOIN d b ON cand LIKE '%s' AND b.word = left(cand, -1))
+SELECT word, arg_min(cand, tier * 10000 + pos) AS fixed FROM t WHERE tier IS NOT NULL GROUP BY word"""
+)
+def best_candidate_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``best_candidate`` over the documents of every language and words with up to three lost places."""
+    d = _whole_dictionary(spark, sf_dir)
+    hurt = d.where(F.col("word").contains("th")).select(F.replace("word", F.lit("th"), F.lit(words.LOST)).alias("word")).distinct()
+    return words.best_candidates(hurt, d)
+
+
+def _whole_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    return w.groupBy("word").agg(F.when(F.count("*") > 100, 10).when(F.count("*") > 10, 35).otherwise(70).alias("tier"))
+
+
 @query()
 def ligature_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English documents with every lost ``th`` marked, and what the corpus as dictionary repairs."""
-    d, _ = _dictionary(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.replace("text", F.lit("th"), F.lit(words.LOST)).alias("text"))
-    return words.repaired(docs, d, "doc_id", "text").select("doc_id", "marked", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    """All documents with every lost ``th`` marked, and what the corpus as dictionary repairs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("th"), F.lit(words.LOST)).alias("text"))
+    return words.repaired(docs, _whole_dictionary(spark, sf_dir), "doc_id", "text").select("doc_id", "marked", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 CELLS = "SELECT l_orderkey % 50 AS page, CAST(l_orderkey AS BIGINT) AS cell, l_quantity * 10.0 AS x0, l_quantity * 10.0 + 60.0 AS x1, l_partkey % 40 * 10.0 AS y0, l_partkey % 40 * 10.0 + 45.0 AS y1 FROM lineitem WHERE l_linenumber = 1"

@@ -19,3 +19,18 @@ def test_linked_rounds_follow_every_edge(spark):
         rounds |= dict.fromkeys(front, r)
     got = {r.node: r.round for r in QUERIES["linked_rounds_whole"](spark, SF).collect()}
     assert got == rounds and got != {r.node: r.round for r in QUERIES["linked_rounds"](spark, SF).collect()}
+
+
+def test_every_document_is_repaired(spark):
+    docs = duckdb.sql(f"SELECT doc_id, text, lang FROM '{SF}/documents.parquet'").fetchall()
+    got = {r.doc_id: r.marked for r in QUERIES["ligature_repair"](spark, SF).collect()}
+    assert got.keys() == {d[0] for d in docs}
+    assert all((got[i] > 0) >= (" the " in text) and (got[i] == 0 or "th" in text) for i, text, _ in docs)
+    assert any(got[i] for i, _, lang in docs if lang != "en")
+
+
+def test_words_with_more_lost_places_are_tried(spark):
+    got = {r.word: r.fixed for r in QUERIES["best_candidate_whole"](spark, SF).collect()}
+    lost = [w.count("�") for w in got]
+    assert {1, 2, 3} == set(lost)
+    assert got.keys() > {r.word for r in QUERIES["best_candidate"](spark, SF).collect()}
