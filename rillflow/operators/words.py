@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 LIGATURES = ("ti", "tti", "ft", "tt", "fi", "fl", "ff", "ffi", "ffl", "tf", "th")
 LOST = "\ufffd"
 MAX_SLOTS = 3
+COMMON = 60  # the highest tier of a common word
+SUFFIX = r"(?i)^(.{4,}?)(ly|ful|ness|less)$"
 
 
 def lowest_tier(words: DataFrame) -> DataFrame:
@@ -43,21 +45,70 @@ def best_candidates(marked: DataFrame, dictionary: DataFrame, word: str = "word"
     return rated.groupBy("damaged").agg(F.min_by("word", F.struct("tier", "pos")).alias("fixed")).withColumnRenamed("damaged", word)
 
 
+def with_doubled_t(word: Column) -> Column:
+    """Every way of writing one of a word's t twice, in order."""
+    at = F.filter(F.sequence(F.lit(1), F.length(word)), lambda i: F.substr(word, i, F.lit(1)) == "t")
+    return F.when(F.length(word) > 0, F.transform(at, lambda i: F.concat(F.substr(word, F.lit(1), i), F.substr(word, i)))).otherwise(F.array().cast("array<string>"))
+
+
+def compounds(each: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Of ``each(damaged, pos, word)`` the rows whose word is two common words or a common one and a suffix."""
+    w = F.col("word")
+    none = F.array().cast("array<struct<one:string,two:string>>")
+    split = lambda i: F.struct(F.substr(w, F.lit(1), i).alias("one"), F.substr(w, i + 1).alias("two"))
+    splits = F.when(F.length(w) >= 6, F.transform(F.sequence(F.lit(3), F.length(w) - 3), split)).otherwise(none)
+    stem = F.regexp_extract(w, SUFFIX, 1)
+    derived = F.when(stem != "", F.array(F.struct(stem.alias("one"), F.lit(None).cast("string").alias("two")))).otherwise(none)
+    parts = each.select("damaged", "pos", "word", F.explode(F.concat(derived, splits)).alias("p")).select("damaged", "pos", "word", "p.*")
+    seen = parts.select(F.col("one").alias("part")).union(parts.where("two is not null").select("two")).distinct()
+    common = tier_of(seen, dictionary, "part").where(F.col("tier") <= COMMON).select("part")
+    first = parts.join(common.withColumnRenamed("part", "one"), "one", "left_semi")
+    both = first.where("two is not null").join(common.withColumnRenamed("part", "two"), "two", "left_semi")
+    return first.where("two is null").select("damaged", "pos", "word").unionByName(both.select("damaged", "pos", "word"))
+
+
+def marked_repairs(marked: DataFrame, dictionary: DataFrame, word: str = "word") -> DataFrame:
+    """Distinct damaged words -> ``word, fixed``, by the first of three steps that has an answer.
+
+    The listed candidate of lowest tier; else that of the candidates with one t doubled; else the
+    first candidate that is a compound. Each step sees only the words that the steps before it left.
+    """
+    damaged = marked.select(F.col(word).alias("word")).distinct()
+    listed = best_candidates(damaged, dictionary)
+    each = damaged.join(listed, "word", "left_anti").select(F.col("word").alias("damaged"), F.posexplode(candidates(F.col("word"))).alias("pos", "word"))
+    doubled = each.select("damaged", "pos", F.posexplode(with_doubled_t(F.col("word"))).alias("nth", "word"))
+    twice = tier_of(doubled, dictionary).where("tier is not null").groupBy("damaged").agg(F.min_by("word", F.struct("tier", "pos", "nth")).alias("fixed"))
+    joined = compounds(each.join(twice, "damaged", "left_anti"), dictionary).groupBy("damaged").agg(F.min_by("word", "pos").alias("fixed"))
+    return listed.unionByName(twice.unionByName(joined).withColumnRenamed("damaged", "word")).withColumnRenamed("word", word)
+
+
+def dropped_tt(plain: DataFrame, dictionary: DataFrame, word: str = "word") -> DataFrame:
+    """Distinct unlisted words of more than four Latin letters -> ``word, fixed``: the most common word with a t doubled."""
+    may = plain.select(F.col(word).alias("word")).distinct().where(F.col("word").rlike("^[A-Za-z]{5,}$") & F.col("word").contains("t"))
+    unknown = tier_of(may, dictionary).where("tier is null").select(F.col("word").alias("damaged"), F.posexplode(with_doubled_t(F.col("word"))).alias("pos", "word"))
+    rated = tier_of(unknown, dictionary).where(F.col("tier") <= COMMON)
+    return rated.groupBy("damaged").agg(F.min_by("word", F.struct("tier", "pos")).alias("fixed")).withColumnRenamed("damaged", word)
+
+
 def repaired(texts: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Texts with every damaged word that has a candidate repaired; adds ``marked``, how many were.
+    """Texts with every damaged word that has an answer repaired; adds ``marked`` and ``doubled``, how many were.
 
-    Only texts with the sign are split into words, and only distinct damaged words are looked up.
+    ``marked`` words hold the sign; ``doubled`` ones lost a t silently, which is only tried in texts
+    with the sign. Only such texts are split into words, and only distinct words are looked up.
     """
     letters = rf"[\p{{L}}{LOST}]+"
     damaged = texts.where(F.col(text_col).contains(LOST)).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     parts = damaged.select("id", F.split("t", letters, -1).alias("gaps"), F.regexp_extract_all("t", F.lit(letters), F.lit(0)).alias("words"))
     words = parts.select("id", F.posexplode("words").alias("pos", "word"))
     hurt = words.where(F.col("word").contains(LOST) & F.col("word").rlike(r"\p{L}"))
-    fixed = hurt.join(best_candidates(hurt, dictionary), "word").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "fixed"))).alias("fixes"), F.count("*").alias("marked"))
+    fixes = marked_repairs(hurt, dictionary).unionByName(dropped_tt(words, dictionary))
+    sign = F.col("word").contains(LOST)
+    fixed = words.join(fixes, "word").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "fixed"))).alias("fixes"), F.count_if(sign).alias("marked"), F.count_if(~sign).alias("doubled"))
     whole = parts.join(fixed, "id").withColumn("new", F.transform("words", lambda w, i: F.coalesce(F.element_at("fixes", i), w)))
     text = F.array_join(F.concat(F.flatten(F.zip_with(F.slice("gaps", 1, F.size("new")), F.col("new"), lambda g, w: F.array(g, w))), F.array(F.element_at("gaps", -1))), "")
-    done = whole.select(F.col("id").alias(id_col), text.alias("fixed_text"), "marked")
-    return texts.join(done, id_col, "left").withColumn(text_col, F.coalesce("fixed_text", text_col)).withColumn("marked", F.coalesce("marked", F.lit(0).cast("long"))).drop("fixed_text")
+    done = whole.select(F.col("id").alias(id_col), text.alias("fixed_text"), "marked", "doubled")
+    none = F.lit(0).cast("long")
+    return texts.join(done, id_col, "left").withColumn(text_col, F.coalesce("fixed_text", text_col)).withColumn("marked", F.coalesce("marked", none)).withColumn("doubled", F.coalesce("doubled", none)).drop("fixed_text")
 
 
 def first_cell(items: DataFrame, cells: DataFrame, page: str, snap: float) -> DataFrame:

@@ -312,7 +312,7 @@ def _whole_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ligature_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with every lost ``th`` marked, and what the corpus as dictionary repairs."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("th"), F.lit(words.LOST)).alias("text"))
-    return words.repaired(docs, _whole_dictionary(spark, sf_dir), "doc_id", "text").select("doc_id", "marked", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    return words.repaired(docs, _whole_dictionary(spark, sf_dir), "doc_id", "text").select("doc_id", "marked", "doubled", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 CELLS = "SELECT l_orderkey % 50 AS page, CAST(l_orderkey AS BIGINT) AS cell, l_quantity * 10.0 AS x0, l_quantity * 10.0 + 60.0 AS x1, l_partkey % 40 * 10.0 AS y0, l_partkey % 40 * 10.0 + 45.0 AS y1 FROM lineitem WHERE l_linenumber = 1"
