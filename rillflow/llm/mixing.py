@@ -77,10 +77,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), *, id_col: str =
     its blocks are dealt to ``2**shard_levels`` output shards by the splitting tree. A document may
     be taken in part at a block's or the target's edge.
 
-    Returns a row per input row: id, ``size`` (words), ``source``, ``source_size``, ``target``,
+    Returns a row per input row: id, ``size`` (words), ``text_hash`` (xxhash64), ``source``, ``source_size``, ``target``,
     ``taken`` and ``draws`` (epoch, block, shard, words). Null or empty texts have size 0 and are
     never taken; a null source is a source of its own; repeated rows are rows of their own; equal
-    inputs give equal results, ties in the hash go by id and size (rows equal in all of these are
+    inputs give equal results, ties in the hash go by id, size and text (rows equal in all of these are
     interchangeable); an empty table gives an empty result; other columns are ignored.
     """
     d = pick(docs, doc_id=id_col, text=text_col, source=source_col)
@@ -89,6 +89,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), *, id_col: str =
             "doc_id",
             F.col("source").cast("string").alias("source"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.xxhash64("text").alias("text_hash"),
         )
         .withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
         .withColumn("h", F.xxhash64(F.lit(seed), "skey", "doc_id"))
@@ -106,11 +107,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), *, id_col: str =
     )
     sources = cut(sources)
     sources = sources.join(shard_quotas(sources, shard_levels, seed), "skey", "left").drop("source")
-    inside = Window.partitionBy("skey", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("skey", "bucket").orderBy("h", "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     placed = d.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
     placed = placed.join(parts.select("skey", "bucket", "offset"), ["skey", "bucket"]).join(cut(sources), "skey")
     return placed.withColumn("draws", draws(F.col("offset") + F.col("within"), F.col("size"), F.col("total"), F.col("to_take"), F.col("block"), F.col("bounds"))).select(
-        "doc_id", "source", "size", F.col("total").alias("source_size"), F.round("target", 6).alias("target"), F.aggregate("draws", F.lit(0).cast("long"), lambda a, x: a + x["words"]).alias("taken"), "draws"
+        "doc_id", "source", "size", "text_hash", F.col("total").alias("source_size"), F.round("target", 6).alias("target"), F.aggregate("draws", F.lit(0).cast("long"), lambda a, x: a + x["words"]).alias("taken"), "draws"
     )
 
 

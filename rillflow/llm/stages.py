@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import encode
-from .common import pick, table
+from .common import WORD, cut, pick, table
 from .jaccard import jaccard_classes
 from .mixing import mix
 from .secrets import scan
@@ -46,13 +46,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group that links of 5-word shingles at Jaccard 0.8 join: that of the smallest id.
 
-    Rows without words are no copies of one another and stay.
+    Rows are told apart by id and text, so rows without an id, or with one id and different texts,
+    are decided each for itself; null ids come last. Rows without words are no copies of one another
+    and stay.
     """
-    kept = jaccard_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"), (F.col("n_shingles") > 0).alias("has_words"))
-    kept = kept.groupBy("kept_id").agg(F.max("has_words").alias("has_words"))
-    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]))
-    nth = F.row_number().over(Window.partitionBy("kept_id").orderBy("n_chars", "source", "lang"))
-    return found.withColumn("nth", nth).where((F.col("nth") == 1) | ~F.col("has_words")).select(*docs.columns)
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    keyed = docs.where(has_words).withColumn("row_key", key)
+    heads = jaccard_classes(keyed, id_col="row_key").where("doc_id = component_id").select(F.col("doc_id").alias("row_key")).distinct()
+    found = keyed.join(heads, "row_key", "left_semi")
+    nth = F.row_number().over(Window.partitionBy("row_key").orderBy("n_chars", "source", "lang"))
+    one = found.withColumn("nth", nth).where("nth = 1").select(*docs.columns)
+    return one.unionByName(docs.where(~has_words))
 
 
 def redacted(text: Column, found: Column) -> Column:
@@ -87,8 +92,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     of_epoch = lambda e: F.aggregate(F.filter("draws", lambda x: x["epoch"] == e), F.lit(0).cast("long"), lambda a, x: a + x["words"])
     epochs = F.array_distinct(F.transform("draws", lambda x: x["epoch"]))
     copies = F.size(F.filter(epochs, lambda e: of_epoch(e) * 2 >= F.col("size")))
-    taken = mix(docs).withColumn("copies", copies).groupBy(F.col("doc_id").alias("taken_id")).agg(F.round(F.avg("copies")).cast("int").alias("copies")).where("copies > 0")
-    out = docs.join(taken, docs["doc_id"].eqNullSafe(taken["taken_id"]))
+    key = lambda text_hash: F.struct("doc_id", F.col("source").cast("string").alias("source"), text_hash.alias("text_hash"))
+    # Rows equal in id, source and text are interchangeable: the mix's counts are dealt to them one by one.
+    mixed = mix(docs).where("size > 0").select(key(F.col("text_hash")).alias("row_key"), copies.alias("copies"))
+    each = F.reverse(F.array_sort(F.collect_list(F.when(F.col("copies") > 0, F.col("copies")))))
+    taken = cut(mixed.groupBy("row_key").agg(F.count("*").alias("rows"), each.alias("each")).where(F.size("each") > 0))
+    keyed = docs.withColumn("row_key", key(F.xxhash64("text")))
+    one = keyed.join(taken.where("rows = 1"), "row_key").withColumn("nth", F.lit(0))
+    nth = F.row_number().over(Window.partitionBy("row_key").orderBy("n_chars", "lang")) - 1
+    more = keyed.join(taken.where("rows > 1"), "row_key").withColumn("nth", nth)
+    out = one.unionByName(more).withColumn("copies", F.get("each", F.col("nth"))).where("copies > 0")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
