@@ -330,6 +330,28 @@ def item_in_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.first_cell(items, cells, "page", 100.0)
 
 
+PAGES = "(SELECT greatest(50, count(*) // 1200) FROM lineitem)"
+EVERY_CELL = f"SELECT l_orderkey % {PAGES} AS page, CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS line, l_partkey, l_suppkey, l_quantity * 10.0 AS x0, l_quantity * 10.0 + 60.0 AS x1, l_partkey % 40 * 10.0 AS y0, l_partkey % 40 * 10.0 + 45.0 AS y1 FROM lineitem"
+EVERY_ITEM = f"SELECT event_id % {PAGES} AS page, event_id AS item, user_id % 60 * 10.0 + 5.0 AS x, event_id % 43 * 10.0 + 1.0 AS y FROM events"
+
+
+@query(
+    f"""WITH i AS ({EVERY_ITEM}), c AS ({EVERY_CELL}), f AS (SELECT i.page, item, line, l_partkey, l_suppkey, row_number() OVER (PARTITION BY i.page, item ORDER BY line, l_partkey, l_suppkey) AS nth FROM i JOIN c ON i.page = c.page AND x > x0 AND x < x1 AND y > y0 AND y < y1)
+SELECT CAST(page AS BIGINT) AS page, item, line, l_partkey, l_suppkey FROM f WHERE nth = 1"""
+)
+def item_in_cell_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``item_in_cell`` with every lineitem row as a cell; pages grow with the table, so each holds about 1,200."""
+    c = table(spark, sf_dir, "lineitem")
+    pages = c.agg(F.greatest(F.lit(50).cast("long"), F.floor(F.count("*") / 1200)).alias("n"))
+    at = F.col("l_partkey") % 40 * 10.0
+    # An order's lines can share a number; with part and supplier a cell is unique.
+    cell = F.struct((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("line"), "l_partkey", "l_suppkey")
+    cells = c.select((F.col("l_orderkey") % pages.scalar()).alias("page"), cell.alias("cell"), (F.col("l_quantity") * 10.0).alias("x0"), (F.col("l_quantity") * 10.0 + 60.0).alias("x1"), at.alias("y0"), (at + 45.0).alias("y1"))
+    e = table(spark, sf_dir, "events")
+    items = e.select((F.col("event_id") % pages.scalar()).alias("page"), F.col("event_id").alias("item"), (F.col("user_id") % 60 * 10.0 + 5.0).alias("x"), (F.col("event_id") % 43 * 10.0 + 1.0).alias("y"))
+    return words.first_cell(items, cells, "page", 100.0).select("page", "item", "cell.*")
+
+
 @query(
     """WITH f AS (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 503 WHEN event_id % 4 = 1 THEN 404 ELSE NULL END AS status, CASE WHEN event_id % 6 = 2 THEN 'read ECONNRESET' WHEN event_id % 6 = 5 THEN 'Socket hang up!' ELSE 'not found' END AS message FROM events)
 SELECT event_id, (coalesce(status = 503, false) OR message LIKE '%ECONN%' OR message LIKE 'Socket%') AS transient, CAST(least(15000, 1000 * pow(2, event_id % 6)) AS BIGINT) AS wait_ms FROM f"""

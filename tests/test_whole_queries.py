@@ -34,3 +34,9 @@ def test_words_with_more_lost_places_are_tried(spark):
     lost = [w.count("�") for w in got]
     assert {1, 2, 3} == set(lost)
     assert got.keys() > {r.word for r in QUERIES["best_candidate"](spark, SF).collect()}
+
+
+def test_every_line_is_a_cell(spark):
+    got = {r["item"]: r["line"] for r in QUERIES["item_in_cell_whole"](spark, SF).collect()}
+    assert got.keys() > {r["item"] for r in QUERIES["item_in_cell"](spark, SF).collect()}
+    assert any(line % 8 > 1 for line in got.values())
