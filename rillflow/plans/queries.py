@@ -136,6 +136,17 @@ def frontmatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", T.frontmatter(fields).alias("front"))
 
 
+@query(
+    r"""SELECT doc_id, '---' || chr(10) || 'title: "' || replace(replace(replace('a\b "q" ' || text, '\', '\\'), '"', '\"'), chr(10), ' ') || '"' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'lang: "' || lang || '"' || chr(10) END || 'source: "' || source || '"' || chr(10) || '---' || chr(10) AS front FROM documents"""
+)
+def frontmatter_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``frontmatter`` with the whole text as the title."""
+    d = table(spark, sf_dir, "documents")
+    title = F.concat(F.lit('a\\b "q" '), "text")
+    fields = [("title", title), ("lang", F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(F.col("lang"))), ("none", F.lit(None).cast("string")), ("source", F.col("source"))]
+    return d.select("doc_id", T.frontmatter(fields).alias("front"))
+
+
 DAMAGED = "chr(65279) || 'a' || chr(13) || chr(10) || 'b' || chr(0) || chr(12) || repeat(chr(10), CAST(doc_id % 5 AS INTEGER)) || text || chr(13) || repeat(chr(127), CAST(doc_id % 3 AS INTEGER)) || ' ' || chr(10)"
 
 

@@ -40,3 +40,9 @@ def test_every_line_is_a_cell(spark):
     got = {r["item"]: r["line"] for r in QUERIES["item_in_cell_whole"](spark, SF).collect()}
     assert got.keys() > {r["item"] for r in QUERIES["item_in_cell"](spark, SF).collect()}
     assert any(line % 8 > 1 for line in got.values())
+
+
+def test_front_matter_holds_whole_texts(spark):
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall())
+    got = {r.doc_id: r.front for r in QUERIES["frontmatter_whole"](spark, SF).collect()}
+    assert got.keys() == texts.keys() and all(len(got[i]) > len(t) for i, t in texts.items())
