@@ -8,7 +8,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, pick, table
@@ -26,7 +26,8 @@ JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dialo
 JUNK_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion sidebar aside rail menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe signup comment comments commentlist disqus reply replies respond discussion share sharing social related recommended widget widgets login search toolbar pagination pager skip".split()
 )
-KEPT_PATHS = 8  # best paths that a page votes for, and that a host keeps
+LISTS = frozenset("ul ol menu dir dl table thead tbody tfoot tr".split())
+HELD = 0.9  # a container gives way to one inside it that has this share of its score
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -156,30 +157,45 @@ def scores(found: list[tuple[tuple[str, ...], str, int, bool]]) -> dict[str, flo
     return total
 
 
+def winner(s: dict[str, float]) -> str | None:
+    """The container with the best score, or the innermost in it that still has most of that score.
+
+    An ancestor has all the text that its parts have, so its better score alone doesn't count.
+    """
+    best = max((p for p in s if s[p] > 0), key=lambda p: (s[p], p), default=None)
+    while best is not None:
+        inner = (p for p in s if p.startswith(best + "/") and "/" not in p[len(best) + 1 :] and p.rsplit("/", 1)[1].split(".")[0] not in LISTS)
+        child = max(inner, key=lambda p: (s[p], p), default=None)
+        if child is None or s[child] < HELD * s[best]:
+            break
+        best = child
+    return best
+
+
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sums: dict[tuple[str, str], list[float]] = defaultdict(lambda: [0.0, 0])
+        votes: dict[tuple[str, str], int] = defaultdict(int)
         for host, page in zip(batch.column("host"), batch.column("html")):
-            s = scores(blocks(page.as_py() or ""))
-            top = sorted(s, key=lambda p: (-s[p], p))[:KEPT_PATHS]
-            best = max((s[p] for p in top), default=0.0)
-            for p in top:
-                if s[p] > 0:
-                    sums[(host.as_py(), p)][0] += s[p] / best
-                    sums[(host.as_py(), p)][1] += 1
-        keys = list(sums)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([sums[k][0] for k in keys], pa.float64()), pa.array([sums[k][1] for k in keys], pa.int64())], ["host", "path", "vote", "pages"])
+            best = winner(scores(blocks(page.as_py() or "")))
+            if best is not None:
+                votes[(host.as_py(), best)] += 1
+        keys = list(votes)
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([votes[k] for k in keys], pa.int64())], ["host", "path", "vote"])
 
 
 def main_text(page: str, paths: list[str]) -> str:
-    """The blocks under the page's best voted path, or, if it has none of them, under its own best."""
+    """The blocks under the page's most voted path, or, if it has none of them, under its own best.
+
+    Ancestors of its own best are passed over: every page has them, whatever its layout.
+    """
     found = blocks(page)
+    s = scores(found)
+    own = winner(s)
     have = {"/".join(p[:k]) for p, _, _, junk in found if not junk for k in range(1, len(p) + 1)}
-    chosen = next((p for p in paths if p in have), None)
+    chosen = next((p for p in paths if p in have and s[p] > 0 and not (own or "").startswith(p + "/")), own)
     if chosen is None:
-        s = scores(found)
         chosen = max(s, key=lambda p: (s[p], p), default=None)
-        if chosen is not None and s[chosen] <= 0:
+        if chosen is not None:
             chosen = chosen.split("/")[0]
     inside = lambda p: chosen is None or "/".join(p).startswith(chosen + "/") or "/".join(p) == chosen
     return "\n".join(t for p, t, _, junk in found if not junk and inside(p))
@@ -194,15 +210,14 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """``(host, html)`` -> ``host, paths``: each host's voted container paths, best first.
+    """``(host, html)`` -> ``host, paths``: each host's container paths with two votes or more, most voted first.
 
-    Every page gives each of its best paths a vote, its score as a share of the page's best; votes
-    are summed by host and path, pre-aggregated in each batch, so a hot host costs a row per batch.
+    Every page votes for its own best container; votes are pre-aggregated in each batch, so a hot
+    host costs a row per path and batch. A path with one vote serves only the page that gave it,
+    which finds it as its own best.
     """
-    votes = pages.mapInArrow(_votes, "host string, path string, vote double, pages long").groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("vote"))
-    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("vote"), F.desc(F.length("path")), "path"))
-    best = votes.withColumn("rank", rank).where(F.col("rank") <= KEPT_PATHS)
-    return best.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths"))
+    votes = pages.mapInArrow(_votes, "host string, path string, vote long").groupBy("host", "path").agg(F.sum("vote").alias("vote")).where("vote > 1")
+    return votes.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("vote")).alias("v"), (-F.length("path")).alias("n"), "path"))), lambda x: x["path"]).alias("paths"))
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
