@@ -46,17 +46,17 @@ def listed(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_cols: tuple[str, ...] = ("source", "lang"), max_owners: int = 2) -> DataFrame:
+def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_cols: tuple[str, ...] = ("source", "lang"), max_owners: int = 2, max_repos: int = 2) -> DataFrame:
     """Finds secrets in whole texts and tells owner-specific ones from widely copied examples.
 
     Base kinds are found in each text alone. Every candidate value (base or opaque run) is
     hashed, and the corpus says how many distinct owners (``owner_col``) and repositories
-    (``repo_cols`` together) hold it: at most ``max_owners`` owners make it ``live``, more make it
-    an ``example``. Opaque runs outside base spans become spans only when live; base spans always
+    (``repo_cols`` together) hold it: at most ``max_owners`` owners and ``max_repos`` repositories
+    make it ``live``, more of either make it an ``example``. Opaque runs outside base spans become spans only when live; base spans always
     stay. Values travel as SHA-256 digests, pre-aggregated by (digest, owner, repository).
 
     Returns a row per input row: id, ``text_hash`` (xxhash64), ``base`` and ``found`` (arrays of start, kind, end, digest, in
-    code points), ``n_live``, ``n_example``. A null text is empty and has no spans; null owners
+    code points), ``n_live``, ``n_example``, ``most_owners`` and ``most_repos`` (of any of its values). A null text is empty and has no spans; null owners
     count as one owner; equal rows get equal results; ties of start go by kind; an empty table gives
     an empty result; other columns are ignored.
     """
@@ -80,19 +80,22 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", own
     # Equal (id, spans) rows get equal answers, so one of each asks and all of them are answered.
     key = F.xxhash64("doc_id", "all")
     asked = with_any.select(key.alias("key"), "all").dropDuplicates(["key"]).select("key", F.explode("all").alias("s"))
+    live = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
     answered = (
         asked.withColumn("digest", F.col("s.digest"))
         .join(freq, "digest")
         .groupBy("key")
         .agg(
-            F.array_sort(F.collect_list(F.when((F.col("s.kind") < 3) | (F.col("owners") <= max_owners), F.col("s")))).alias("found"),
-            F.sum(((F.col("owners") <= max_owners)).cast("long")).alias("n_live"),
-            F.sum((F.col("owners") > max_owners).cast("long")).alias("n_example"),
+            F.array_sort(F.collect_list(F.when((F.col("s.kind") < 3) | live, F.col("s")))).alias("found"),
+            F.sum(live.cast("long")).alias("n_live"),
+            F.sum((~live).cast("long")).alias("n_example"),
+            F.max("owners").alias("most_owners"),
+            F.max("repos").alias("most_repos"),
         )
     )
     zero = F.lit(0).cast("long")
-    some = with_any.withColumn("key", key).join(cut(answered), "key").select("doc_id", "text_hash", "base", "found", "n_live", "n_example")
-    none = d.where(F.size("all") == 0).select("doc_id", "text_hash", "base", F.col("base").alias("found"), zero.alias("n_live"), zero.alias("n_example"))
+    some = with_any.withColumn("key", key).join(cut(answered), "key").select("doc_id", "text_hash", "base", "found", "n_live", "n_example", "most_owners", "most_repos")
+    none = d.where(F.size("all") == 0).select("doc_id", "text_hash", "base", F.col("base").alias("found"), zero.alias("n_live"), zero.alias("n_example"), zero.alias("most_owners"), zero.alias("most_repos"))
     return some.unionByName(none)
 
 
@@ -100,4 +103,4 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all ``documents``: counts per base kind, digest of base spans, all spans."""
     s = scan(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
-    return s.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"), "n_live", "n_example")
+    return s.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"), "n_live", "n_example", "most_owners", "most_repos")
