@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .words import mix
 
 SCHEMA = "bucket int, keys binary, ids binary, which binary, low binary, high binary, doc_id long, at binary"
 _NAMES = ["bucket", "keys", "ids", "which", "low", "high", "doc_id", "at"]
 _TYPES = [pa.int32(), *[pa.binary()] * 5, pa.int64(), pa.binary()]
 BUCKET_BYTES = 8 << 20  # bytes of text for each key range
+CHUNK = 2_000_000  # triples that a task gathers at most, about 32 MB
 
 
 def bucket_bits(docs: DataFrame, least: int = 6) -> int:
@@ -72,13 +73,18 @@ def _decided(keys: np.ndarray, ids: np.ndarray, mode: str) -> tuple[np.ndarray,
 
 
 def sent(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], bits: int, mode: str) -> Iterator[pa.RecordBatch]:
-    """Chunks of (keys uint64, ids int64, positions) -> blocks by key range, and what is decided already."""
+    """Chunks of (keys uint64, ids int64, positions) -> blocks by key range, and what is decided already.
+
+    What is decided goes the same way, in ranges of ids below 0, so the texts are scanned once and
+    nothing is written in between.
+    """
     for keys, ids, pos in gathered(chunks, bits):
         done, send = _decided(keys, ids, mode)
         who, at = _by_id(ids[done], pos[done])
         if who:
             none = [None] * len(who)
-            yield _batch([[-1] * len(who), none, none, none, none, none, who, at])
+            aside = -1 - (mix(np.array(who, np.int64).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+            yield _batch([aside.tolist(), none, none, none, none, none, who, at])
         keys, ids, pos = keys[send], ids[send], pos[send].astype(np.uint32)
         bucket = (keys >> np.uint64(64 - bits)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
@@ -99,13 +105,13 @@ def _batch(cols: list[list]) -> pa.RecordBatch:
 
 
 def gathered(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Chunks joined until each key range has about 256 triples (or 100,000 in all)."""
+    """Chunks joined until each key range has about 256 triples, but at least 100,000 and at most ``CHUNK`` in all."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     n = 0
     for c in chunks:
         held.append(c)
         n += len(c[0])
-        if n >= max(100_000, 256 << bits):
+        if n >= min(CHUNK, max(100_000, 256 << bits)):
             yield tuple(map(np.concatenate, zip(*held)))
             held, n = [], 0
     if n:
@@ -116,6 +122,8 @@ def settle(mode: str) -> Callable[[pa.Table], pa.Table]:
     """The receiving group's function: the blocks of one key range -> decided (doc_id, at)."""
 
     def run(t: pa.Table) -> pa.Table:
+        if t.column("bucket")[0].as_py() < 0:
+            return t.select(["doc_id", "at"])
         keys, ids, pos = [], [], []
         for k, i, w, lo, hi in zip(*(t.column(c).to_pylist() for c in ("keys", "ids", "which", "low", "high"))):
             keys.append(np.frombuffer(k, np.uint64))
@@ -131,9 +139,7 @@ def settle(mode: str) -> Callable[[pa.Table], pa.Table]:
 
 def exchanged(blocks: DataFrame, mode: str) -> DataFrame:
     """Blocks of ``sent`` -> a row per id with all its decided positions: ``doc_id, at array<binary>``."""
-    blocks = cut(blocks)
-    settled = blocks.where("bucket >= 0").groupBy("bucket").applyInArrow(settle(mode), "doc_id long, at binary")
-    return settled.union(blocks.where("bucket < 0").select("doc_id", "at")).groupBy("doc_id").agg(F.collect_list("at").alias("at"))
+    return blocks.groupBy("bucket").applyInArrow(settle(mode), "doc_id long, at binary").groupBy("doc_id").agg(F.collect_list("at").alias("at"))
 
 
 def positions(at: list[bytes] | None) -> np.ndarray:
