@@ -65,6 +65,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined_by_few(left: DataFrame, right: DataFrame, key: str, n: str) -> DataFrame:
+    """``left`` with the columns of ``right``, which has one row for each ``key`` and in ``n`` how many left rows hold it.
+
+    Keys of more than one left row in 1,024 are at most 1,024, so they are broadcast: rows of a key
+    that a third of all rows hold stay where they are. The other keys are joined as usual.
+    """
+    total = right.agg(F.sum(n)).scalar()
+    hot = right.where(F.col(n) * 1024 > total)
+    one = left.join(F.broadcast(hot.select(F.col(key), F.lit(True).alias("is_hot"))), key, "left")
+    rest = one.where("is_hot is null").drop("is_hot").join(right.drop(n), key)
+    return left.join(F.broadcast(hot.drop(n)), key).unionByName(rest)
+
+
 def bitmap(keys: DataFrame, key: Column, bits_log2: int = 23) -> np.ndarray:
     """A bitmap of the 64-bit ``key`` values, taken modulo ``2**bits_log2``, on the driver.
 
