@@ -1,23 +1,26 @@
 """Media columns: local image descriptors that find cropped or edited copies.
 
 Images are grey, square and small (``SIDE`` pixels). Corners are found at several scales, each gets
-an orientation and 128 binary intensity tests turned by it. A descriptor is cut into four bands of
-32 bits; descriptors at most 3 bits apart share one, and most of those up to ``NEAR`` apart do. Bands
-join query and index descriptors (a bitmap of the queries' bands, of fixed size, keeps other index
-bands from being shuffled), the whole 128 bits decide, and a match of images needs several corners
-that agree on one turn, scale and shift.
+an orientation and 128 binary intensity tests turned by it. Descriptors are kept in ``TABLES``
+Hamming tables, each keyed by ``KEY`` of the 128 bits; queries look up every key at most ``PROBED``
+bits from their own. Descriptors at most ``TABLES * (PROBED + 1) - 1`` = ``NEAR`` bits apart differ in
+at most ``PROBED`` bits of some key, so none is missed. A bitmap of fixed size tells which keys the index
+holds, so only those are looked up; the whole 128 bits decide, and a match of images needs several
+corners that agree on one turn, scale and shift.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, cut, in_bitmap, pick, table
+from .common import bitmap, cut, in_bitmap, joined_by_few, pick, table
 from .words import mix
 
 SIDE = 96
@@ -26,6 +29,9 @@ CORNERS = 24  # of each scale, the strongest
 REACH = 12  # pixels from a corner to its farthest test
 TURNS = 12
 NEAR = 14  # bits that matching descriptors may differ in
+TABLES = 5
+KEY = 25  # bits of a table's key
+PROBED = 2  # bits of a key that a look-up may flip; TABLES * (PROBED + 1) > NEAR
 CONSENSUS = 4  # corners that must agree
 _RNG = np.random.default_rng(7)
 _TESTS = np.clip(_RNG.normal(0, REACH / 2.2, (2, 128, 2)), -REACH + 1, REACH - 1)
@@ -33,24 +39,31 @@ _ANGLES = np.arange(TURNS) * 2 * np.pi / TURNS
 _TURN = np.stack([np.stack([np.cos(_ANGLES), -np.sin(_ANGLES)], -1), np.stack([np.sin(_ANGLES), np.cos(_ANGLES)], -1)], -2)
 _PATTERN = np.rint(np.einsum("tij,pkj->tpki", _TURN, _TESTS)).astype(np.int64)  # turn, end, test, (x, y)
 _DISC = np.array([(x, y) for x in range(-7, 8) for y in range(-7, 8) if x * x + y * y <= 49])
+_FLIPS = np.array([0, *(sum(1 << i for i in c) for n in range(1, PROBED + 1) for c in combinations(range(KEY), n))], np.int64)
+
+
+@lru_cache(maxsize=4)
+def _basis(dim: int) -> np.ndarray:
+    """A smooth random pattern of ``SIDE`` x ``SIDE`` pixels for each component, of unit deviation."""
+    out = np.random.default_rng(11).normal(size=(dim, SIDE, SIDE))
+    for k in range(dim):
+        for _ in range(2):
+            out[k : k + 1] = _box(out[k : k + 1], 1 + k % 3)
+    out -= out.mean(axis=(1, 2), keepdims=True)
+    return (out / out.std(axis=(1, 2), keepdims=True)).reshape(dim, -1).astype(np.float32)
 
 
 def rendered(vectors: np.ndarray) -> np.ndarray:
-    """Vectors -> images: pairs of components place rectangles on a ramp, so near vectors look alike."""
-    n, d = vectors.shape
-    v = np.nan_to_num(vectors.astype(np.float64))
-    low, high = v.min(axis=1, keepdims=True), v.max(axis=1, keepdims=True)
-    q = (v - low) / np.where(high > low, high - low, 1)
-    ramp = np.arange(SIDE)
-    out = np.broadcast_to(60 + ramp[None, :, None] * 0.5 + ramp[None, None, :] * 0.3, (n, SIDE, SIDE)).copy()
-    for i in range(d // 2):
-        a, b = q[:, 2 * i], q[:, 2 * i + 1]
-        x, y = (a * (SIDE - 10)).astype(int), (b * (SIDE - 10)).astype(int)
-        w, h = 7 + (i * 5 + (b * 9).astype(int)) % 14, 6 + (i * 7 + (a * 9).astype(int)) % 15
-        shade = 20 + (i * 53 + (a * 40 + b * 40).astype(int)) % 220
-        for k in range(n):
-            out[k, y[k] : y[k] + h[k], x[k] : x[k] + w[k]] = shade[k]
-    return out.astype(np.uint8)
+    """Vectors -> images: their components weigh smooth patterns, so near vectors look alike and others don't.
+
+    A vector without any spread is a flat image.
+    """
+    v = np.nan_to_num(vectors.astype(np.float64), posinf=0, neginf=0)
+    v = v - v.mean(axis=1, keepdims=True) if v.shape[1] else np.zeros((len(v), 1))
+    spread = np.sqrt((v * v).sum(axis=1, keepdims=True))
+    v = np.where(spread > 1e-9, v / np.maximum(spread, 1e-9), 0)
+    shade = 128 + 45 * (v.astype(np.float32) @ _basis(v.shape[1]))
+    return np.clip(np.rint(shade), 0, 255).astype(np.uint8).reshape(-1, SIDE, SIDE)
 
 
 def edited(images: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -65,14 +78,21 @@ def edited(images: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def _box(x: np.ndarray, r: int) -> np.ndarray:
-    """Sums over squares of ``2 * r + 1`` pixels, edges repeated."""
-    for axis in (1, 2):
-        pad = [(0, 0)] * 3
-        pad[axis] = (r + 1, r)
-        c = np.cumsum(np.pad(x, pad, mode="edge"), axis=axis)
-        x = np.take(c, range(2 * r + 1, c.shape[axis]), axis) - np.take(c, range(0, c.shape[axis] - 2 * r - 1), axis)
-    return x
+def _moved(x: np.ndarray, r: int, axis: int, put: np.ufunc) -> np.ndarray:
+    """``put`` over the ``2 * r + 1`` neighbours along an axis, edges repeated."""
+    pad = [(0, 0)] * 3
+    pad[axis] = (r, r)
+    wide, n = np.pad(x, pad, mode="edge"), x.shape[axis]
+    part = lambda k: wide[:, k : k + n] if axis == 1 else wide[:, :, k : k + n]
+    out = part(0).copy()
+    for k in range(1, 2 * r + 1):
+        put(out, part(k), out=out)
+    return out
+
+
+def _box(x: np.ndarray, r: int, put: np.ufunc = np.add) -> np.ndarray:
+    """Sums (or what ``put`` makes) over squares of ``2 * r + 1`` pixels."""
+    return _moved(_moved(x, r, 1, put), r, 2, put)
 
 
 def described(images: np.ndarray) -> dict[str, np.ndarray]:
@@ -81,19 +101,22 @@ def described(images: np.ndarray) -> dict[str, np.ndarray]:
     for level, scale in enumerate(SCALES):
         side = int(SIDE / scale)
         at = np.minimum((np.arange(side) * scale).astype(int), SIDE - 1)
-        im = _box(images.astype(np.float64), 1)[:, at][:, :, at] / 9 if scale > 1 else images.astype(np.float64)
+        whole = images.astype(np.int32)
+        im, unit = (_box(whole, 1)[:, at][:, :, at], 9) if scale > 1 else (whole, 1)
         gx, gy = np.zeros_like(im), np.zeros_like(im)
         gx[:, :, 1:-1], gy[:, 1:-1] = im[:, :, 2:] - im[:, :, :-2], im[:, 2:] - im[:, :-2]
+        gx, gy = gx.astype(np.float64) / unit, gy.astype(np.float64) / unit
         xx, yy, xy = _box(gx * gx, 2), _box(gy * gy, 2), _box(gx * gy, 2)
         r = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
-        peak = np.lib.stride_tricks.sliding_window_view(np.pad(r, [(0, 0), (2, 2), (2, 2)], constant_values=-np.inf), (5, 5), axis=(1, 2)).max(axis=(3, 4))
+        peak = _box(r, 2, np.maximum)
         edge = REACH + 2
-        r = np.where((r == peak) & (r > 1e4), r, -np.inf)
-        r[:, :edge] = r[:, -edge:] = r[:, :, :edge] = r[:, :, -edge:] = -np.inf
-        flat = r.reshape(len(r), -1)
-        top = np.argsort(-flat, axis=1, kind="stable")[:, :CORNERS]
-        which, nth = np.nonzero(np.isfinite(np.take_along_axis(flat, top, 1)))
-        y, x = np.divmod(top[which, nth], side)
+        inner = np.zeros(r.shape[1:], bool)
+        inner[edge:-edge, edge:-edge] = True
+        which, y, x = np.nonzero((r == peak) & (r > 1e4) & inner)
+        order = np.lexsort((y * side + x, -r[which, y, x], which))
+        which, y, x = which[order], y[order], x[order]
+        nth = np.arange(len(which)) - np.searchsorted(which, which)
+        which, y, x = (c[nth < CORNERS] for c in (which, y, x))
         disc = im[which[:, None], y[:, None] + _DISC[:, 1], x[:, None] + _DISC[:, 0]]
         angle = np.arctan2((disc * _DISC[:, 1]).sum(1), (disc * _DISC[:, 0]).sum(1))
         turn = np.rint(angle / (2 * np.pi / TURNS)).astype(int) % TURNS
@@ -106,54 +129,75 @@ def described(images: np.ndarray) -> dict[str, np.ndarray]:
     return dict(zip(names, (np.concatenate(c) for c in zip(*parts))))
 
 
-_CORNER = "id long, x double, y double, scale int, turn int, b0 int, b1 int, b2 int, b3 int"
+_CORNER = "id long, x float, y float, scale int, turn int, lo long, hi long"
+
+
+def places(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Descriptors -> their place in each table: n x TABLES, the table's number above its key."""
+    mask, out = np.uint64((1 << KEY) - 1), np.zeros((len(lo), TABLES), np.int64)
+    for t in range(TABLES):
+        at = t * KEY
+        key = lo >> np.uint64(at) if at < 64 else hi >> np.uint64(at - 64)
+        if at < 64 < at + KEY:
+            key = key | hi << np.uint64(64 - at)
+        out[:, t] = (key & mask).astype(np.int64) | t << KEY
+    return out
 
 
-def band_key(band: int, bits: np.ndarray) -> np.ndarray:
-    return mix(bits.astype(np.uint64) | np.uint64(band + 1) << np.uint64(40))
+def _batch(cols: list[np.ndarray], schema: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [c.split()[0] for c in schema.split(", ")])
 
 
-def _corners(edit: bool, wanted: np.ndarray | None = None):
-    """Rows (id, embedding) -> corners, only those with a wanted band if a bitmap is given."""
+def _corners(edit: bool):
+    """Rows (id, embedding) -> the corners of their images, or of the edited ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             vectors = batch.column("embedding").to_pylist()
-            size = max((len(v) for v in vectors if v), default=0)
-            for lo in range(0, len(ids), 64):
-                part = [(np.array(v, float) if v else np.zeros(0)) for v in vectors[lo : lo + 64]]
-                v = np.stack([np.pad(np.nan_to_num(x), (0, size - len(x))) for x in part])
-                images = rendered(v)
-                d = described(edited(images, ids[lo : lo + 64]) if edit else images)
-                keep = np.ones(len(d["x"]), bool)
-                if wanted is not None:
-                    keep = np.any([in_bitmap(wanted, band_key(k, d["bits"][:, k])) for k in range(4)], axis=0)
-                bits = d["bits"][keep].view(np.int32)
-                cols = [ids[lo + d["image"][keep]], d["x"][keep], d["y"][keep], d["scale"][keep].astype(np.int32), d["turn"][keep].astype(np.int32), *(np.ascontiguousarray(bits[:, k]) for k in range(4))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [c.split()[0] for c in _CORNER.split(", ")])
+            size = max((len(v) for v in vectors if v), default=1)
+            for lo in range(0, len(ids), 32):
+                part = [np.array([np.nan if e is None else e for e in v or []], float) for v in vectors[lo : lo + 32]]
+                images = rendered(np.stack([np.pad(np.nan_to_num(x), (0, size - len(x))) for x in part]))
+                d = described(edited(images, ids[lo : lo + 32]) if edit else images)
+                words = np.ascontiguousarray(d["bits"]).view(np.uint64)
+                yield _batch([ids[lo + d["image"]], d["x"].astype(np.float32), d["y"].astype(np.float32), d["scale"].astype(np.int32), d["turn"].astype(np.int32), *(np.ascontiguousarray(words[:, k]).view(np.int64) for k in (0, 1))], _CORNER)
 
     return run
 
 
-def _bands(corners: DataFrame) -> DataFrame:
-    return corners.withColumn("band", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"b{k}").alias("v")) for k in range(4)]))).select("*", "band.k", "band.v").drop("band")
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Corners -> (place, corner) for each table."""
+    for b in batches:
+        at = places(*(b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("lo", "hi")))
+        yield _batch([at.T.ravel(), *(np.tile(b.column(c.split()[0]).to_numpy(zero_copy_only=False), TABLES) for c in _CORNER.split(", "))], f"place long, {_CORNER}")
+
+
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield _batch([mix(b.column("place").to_numpy(zero_copy_only=False).view(np.uint64)).view(np.int64)], "key long")
 
 
-def _keys(corners: DataFrame) -> DataFrame:
+def _probes(held: np.ndarray):
+    """Corners -> (place, corner) for each place within ``PROBED`` bits of one of their keys that the bitmap holds."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = [band_key(k, b.column(f"b{k}").to_numpy(zero_copy_only=False).view(np.uint32)) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], ["key"])
+            cols = [b.column(c.split()[0]).to_numpy(zero_copy_only=False) for c in _CORNER.split(", ")]
+            for a in range(0, b.num_rows, 2000):
+                some = [np.ascontiguousarray(c[a : a + 2000]) for c in cols]
+                at = (places(some[-2].view(np.uint64), some[-1].view(np.uint64))[:, :, None] ^ _FLIPS).reshape(len(some[0]), -1)
+                corner, probe = np.nonzero(in_bitmap(held, mix(at.astype(np.uint64))))
+                yield _batch([at[corner, probe], *(c[corner] for c in some)], f"place long, {_CORNER}")
 
-    return corners.mapInArrow(run, "key long")
+    return run
 
 
 def matches(queries: DataFrame, index: DataFrame) -> DataFrame:
-    """Corners of queries and of the index -> ``query_id, match_id, inliers`` of images in consensus."""
-    q, i = _bands(queries).alias("q"), _bands(index).alias("i")
-    apart = sum(F.bit_count(F.col(f"q.b{k}").bitwiseXOR(F.col(f"i.b{k}"))) for k in range(4))
-    near = q.join(i, (F.col("q.k") == F.col("i.k")) & (F.col("q.v") == F.col("i.v")) & (apart <= NEAR))
+    """Corners at their places, of queries and of the index -> ``query_id, match_id, inliers`` of images in consensus."""
+    q, i = queries.alias("q"), index.alias("i")
+    apart = sum(F.bit_count(F.col(f"q.{k}").bitwiseXOR(F.col(f"i.{k}"))) for k in ("lo", "hi"))
+    near = q.join(i.hint("merge"), (F.col("q.place") == F.col("i.place")) & (apart <= NEAR))
     turn = F.pmod(F.col("q.turn") - F.col("i.turn"), F.lit(TURNS))
     a = turn * (2 * np.pi / TURNS)
     factor = F.pow(F.lit(1.5), F.col("i.scale") - F.col("q.scale"))
@@ -166,9 +210,13 @@ def matches(queries: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def classes(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``id, class_id``: images with equal pixels' sources share the smallest id. Null vectors are one class."""
+    """``id, class_id``: images with equal pixels' sources share the smallest id. Null vectors are one class.
+
+    A vector that a third of the rows hold isn't gathered in one task.
+    """
     v = pick(vectors, id=id_col, embedding=vector_col).select("id", F.xxhash64("embedding").alias("same"))
-    return v.join(v.groupBy("same").agg(F.min("id").alias("class_id")), "same").select("id", "class_id")
+    groups = cut(v.groupBy("same").agg(F.min("id").alias("class_id"), F.count("*").alias("n")))
+    return joined_by_few(v, groups, "same", "n").select("id", "class_id")
 
 
 def find_copies(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100) -> DataFrame:
@@ -177,18 +225,19 @@ def find_copies(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
     The images are rendered from the vectors. Rows with equal vectors are one image and stand for
     each other (``classes`` lists them), so a vector that a third of the rows hold is indexed once.
     Returns ``query_id, match_id`` (a class id), ``inliers`` and ``own`` (whether the match is the
-    query's own original). Images without corners, as of null or constant vectors, match nothing;
-    repeated rows ask once; null ids are ignored; an empty table gives an empty result; other
-    columns are ignored.
+    query's own original). Images without corners, as of null, empty or constant vectors, match
+    nothing; null components count as 0; repeated rows ask once; ids are integers, null ones are
+    ignored; an empty table gives an empty result; other columns are ignored.
     """
     v = pick(vectors, id=id_col, embedding=vector_col).where("id is not null").withColumn("id", F.col("id").cast("long"))
     named = cut(classes(v, id_col="id").dropDuplicates(["id"]))
     reps = named.where("id = class_id").select("id")
     asked = cut(v.where(F.col("id") % every == 0).dropDuplicates(["id"]).mapInArrow(_corners(True), _CORNER))
-    wanted = bitmap(_keys(asked), F.col("key"))
     originals = v.join(reps, "id", "left_semi").dropDuplicates(["id"])
-    index = originals.mapInArrow(_corners(False, wanted), _CORNER)
-    found = matches(asked, index)
+    originals = originals.repartition(int(v.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")  # small rows, but much to compute
+    index = cut(originals.mapInArrow(_corners(False), _CORNER)).mapInArrow(_placed, f"place long, {_CORNER}")
+    held = bitmap(index.mapInArrow(_mixed, "key long"), F.col("key"), 26)
+    found = matches(asked.mapInArrow(_probes(held), f"place long, {_CORNER}"), index)
     return found.join(named.select(F.col("id").alias("query_id"), "class_id"), "query_id").select("query_id", "match_id", "inliers", (F.col("match_id") == F.col("class_id")).alias("own"))
 
 
