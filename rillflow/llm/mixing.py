@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, cut, pick, table
 
+DRAWS = "array<struct<epoch:bigint,block:bigint,shard:int,words:bigint,place:bigint>>"
 BUCKETS = 1024  # parts of a source's permutation: no source, however hot, is ordered in one task
 
 
@@ -56,17 +57,21 @@ def shard_quotas(blocks: DataFrame, levels: int, seed: int) -> DataFrame:
     return counts.groupBy("skey").agg(by_shard.alias("m")).select("skey", upto(F.col("m")).alias("bounds"))
 
 
-def draws(lo: Column, size: Column, total: Column, target: Column, block: Column, bounds: Column) -> Column:
-    """What the mix takes of a document that stands at words ``lo .. lo + size`` of its source's permutation."""
+def draws(lo: Column, size: Column, total: Column, target: Column, block: Column, bounds: Column, seed: int) -> Column:
+    """What the mix takes of a document that stands at words ``lo .. lo + size`` of its source's permutation.
+
+    Only blocks that the tree dealt to a shard are taken; ``place`` orders a shard's pieces at random.
+    """
 
     def of_epoch(e: Column) -> Column:
         start = e * total + lo
-        end = F.least(start + size, target)
-        piece = lambda b: F.struct(e.alias("epoch"), b.alias("block"), F.size(F.filter(bounds, lambda x: x <= b)).alias("shard"), (F.least(end, (b + 1) * block) - F.greatest(start, b * block)).alias("words"))
-        return F.when(end > start, F.transform(F.sequence(F.expr("0L") + F.floor(start / block), F.floor((end - 1) / block)), piece)).otherwise(F.array().cast("array<struct<epoch:bigint,block:bigint,shard:int,words:bigint>>"))
+        end = F.least(start + size, target, F.element_at(bounds, -1) * block)
+        shard = lambda b: F.size(F.filter(bounds, lambda x: x <= b))
+        piece = lambda b: F.struct(e.alias("epoch"), b.alias("block"), shard(b).alias("shard"), (F.least(end, (b + 1) * block) - F.greatest(start, b * block)).alias("words"), F.xxhash64(F.lit(seed), shard(b), e, b, lo).alias("place"))
+        return F.when(end > start, F.transform(F.sequence(F.expr("0L") + F.floor(start / block), F.floor((end - 1) / block)), piece)).otherwise(F.array().cast(DRAWS))
 
     epochs = F.sequence(F.lit(0).cast("long"), F.floor(target / total))
-    return F.when((size > 0) & (target > 0), F.flatten(F.transform(epochs, of_epoch))).otherwise(F.array().cast("array<struct<epoch:bigint,block:bigint,shard:int,words:bigint>>"))
+    return F.when((size > 0) & (target > 0), F.flatten(F.transform(epochs, of_epoch))).otherwise(F.array().cast(DRAWS))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_repeats: float = 3, shard_levels: int = 4, n_blocks: int = 4096, seed: int = 17) -> DataFrame:
@@ -78,7 +83,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), *, id_col: str =
     be taken in part at a block's or the target's edge.
 
     Returns a row per input row: id, ``size`` (words), ``text_hash`` (xxhash64), ``source``, ``source_size``, ``target``,
-    ``taken`` and ``draws`` (epoch, block, shard, words). Null or empty texts have size 0 and are
+    ``taken`` and ``draws`` (epoch, block, shard, words, place). Null or empty texts have size 0 and are
     never taken; a null source is a source of its own; repeated rows are rows of their own; equal
     inputs give equal results, ties in the hash go by id, size and text (rows equal in all of these are
     interchangeable); an empty table gives an empty result; other columns are ignored.
@@ -110,18 +115,17 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), *, id_col: str =
     inside = Window.partitionBy("skey", "bucket").orderBy("h", "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     placed = d.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
     placed = placed.join(parts.select("skey", "bucket", "offset"), ["skey", "bucket"]).join(cut(sources), "skey")
-    return placed.withColumn("draws", draws(F.col("offset") + F.col("within"), F.col("size"), F.col("total"), F.col("to_take"), F.col("block"), F.col("bounds"))).select(
+    return placed.withColumn("draws", draws(F.col("offset") + F.col("within"), F.col("size"), F.col("total"), F.col("to_take"), F.col("block"), F.col("bounds"), seed)).select(
         "doc_id", "source", "size", "text_hash", F.col("total").alias("source_size"), F.round("target", 6).alias("target"), F.aggregate("draws", F.lit(0).cast("long"), lambda a, x: a + x["words"]).alias("taken"), "draws"
     )
 
 
-def shards(mixed: DataFrame, seed: int = 17) -> DataFrame:
-    """A row per drawn piece: ``shard``, its locally shuffled ``place`` key, id, epoch, block, words."""
-    one = mixed.select("doc_id", F.explode("draws").alias("x"))
-    return one.select("x.shard", F.xxhash64(F.lit(seed), "x.shard", "x.epoch", "x.block", "doc_id").alias("place"), "doc_id", "x.epoch", "x.block", "x.words")
+def shards(mixed: DataFrame) -> DataFrame:
+    """A row per drawn piece: ``shard``, its place in the shard's shuffled order, id, epoch, block, words."""
+    return mixed.select("doc_id", F.explode("draws").alias("x")).select("x.shard", "x.place", "doc_id", "x.epoch", "x.block", "x.words")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of all ``documents``: doc_id, size, source_size, target, taken; also pieces and first shard."""
+    """The mix of all ``documents``: doc_id, size, source_size, target, taken; also the pieces as ``shard:place:words``."""
     m = mix(table(spark, sf_dir, "documents"))
-    return m.select("doc_id", "size", "source_size", "target", "taken", F.size("draws").alias("n_pieces"), F.when(F.size("draws") > 0, F.element_at("draws", 1)["shard"]).alias("first_shard"))
+    return m.select("doc_id", "size", "source_size", "target", "taken", F.array_join(F.transform("draws", lambda x: F.concat_ws(":", x["shard"].cast("string"), x["place"].cast("string"), x["words"].cast("string"))), ",").alias("pieces"))
