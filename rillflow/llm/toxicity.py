@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -105,6 +106,14 @@ def swaps(words: set[str], groups: Sequence[Sequence[str]]) -> list[set[str]]:
     return [{to.get(w, w) for w in words} for to in (first, after)]
 
 
+def mentioned(pack: bytes, term: str) -> np.ndarray:
+    """The features that a text with these packed features gains by a mention of ``term``."""
+    own = np.frombuffer(pack, np.uint32)
+    has = np.isin(np.array([one for one, _ in features(term)], np.uint32), own)
+    gained = {two if h else one for (one, two), h in zip(features(term), has)} - {0}
+    return np.setdiff1d(np.array(sorted(gained), np.uint32), own)
+
+
 def fit_words(rows: Sequence[tuple[Iterable[str], int]], groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, **how) -> Model:
     """Fits a model to (distinct lower-case words, label) rows; see ``fit_packed``."""
     known = _Features()
@@ -117,7 +126,9 @@ def fit_packed(rows: Sequence[tuple[bytes, Sequence[bytes], int]], groups: Seque
     Features in at least ``least`` rows whose rates differ between the labels by more than chance
     are kept (the ``max_features`` clearest). The loss is the mean logistic loss, plus ``l2``, plus
     ``penalty`` times the mean squared change of the logit when a row's identity terms are swapped
-    for others of their group, the neutral one included.
+    for others of their group, the neutral one included. A row without such terms gets one, chosen by
+    its features: a neutral mention shouldn't change its score either, whatever features it shares
+    with words of the corpus.
     """
     labels = np.array([y for *_, y in rows], dtype=float)
     n_pos, n_neg = labels.sum(), len(labels) - labels.sum()
@@ -146,6 +157,19 @@ def fit_packed(rows: Sequence[tuple[bytes, Sequence[bytes], int]], groups: Seque
     row, col = columns([r[0] for r in rows])
     origin = np.array([i for i, r in enumerate(rows) for _ in r[1]], dtype=np.int64)
     p_row, p_col = columns([p for r in rows for p in r[1]])
+    terms = sorted({t for g in groups for t in g})
+    without = np.array([i for i, r in enumerate(rows) if not r[1] and terms], dtype=np.int64)
+    said = [mentioned(rows[i][0], terms[zlib.crc32(rows[i][0]) % len(terms)]) for i in without]
+    near = np.searchsorted(names, np.concatenate(said)) if said else np.zeros(0, np.int64)
+    held = near < len(names)
+    held[held] = names[near[held]] == np.concatenate(said)[held] if said else held[held]
+    of = np.repeat(np.arange(len(without)), [len(x) for x in said])
+    own_cols = np.isin(row, without)
+    back = np.zeros(len(rows), np.int64)
+    back[without] = np.arange(len(without))
+    p_row = np.concatenate([p_row, len(origin) + back[row[own_cols]], len(origin) + of[held]])
+    p_col = np.concatenate([p_col, col[own_cols], near[held]])
+    origin = np.concatenate([origin, without])
     w, b = np.zeros(len(names)), 0.0
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for step in range(1, steps + 1):
@@ -199,17 +223,20 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return fit_packed([(bytes(r.f.own), [bytes(x) for x in r.f.swapped], r.y) for r in rows], groups, **how)
 
 
-_scorers: dict[int, Callable[[str | None], float]] = {}
+_scorers: dict[str, Callable[[str | None], float]] = {}
 
 
 def score_column(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     """A column function: whole text -> score from 0 to 1."""
     sent = spark.sparkContext.broadcast(model)
+    key = uuid.uuid4().hex
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        model = sent.value
-        of = _scorers.get(id(model)) or _scorers.setdefault(id(model), model.scorer())
+        if key not in _scorers:
+            _scorers.clear()  # a worker holds one model at a time
+            _scorers[key] = sent.value.scorer()
+        of = _scorers[key]
         return pa.array([of(t.as_py()) for t in text], pa.float64())
 
     return score
