@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Callable
 
@@ -100,7 +101,7 @@ class Codec(dict):
         return b"".join([pieces[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-_codecs: dict[tuple[int, str], Codec] = {}
+_codecs: dict[tuple[str, str], Codec] = {}
 
 
 def codec_column(spark: SparkSession, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> Callable[[Column], Column]:
@@ -109,12 +110,16 @@ def codec_column(spark: SparkSession, path: str | None = None, pattern: str = pu
     The model (fixed by the vocabulary file, about 1 MB) is serialised on the driver and broadcast;
     each worker loads it once.
     """
-    model = spark.sparkContext.broadcast(serialise(read_ranks(path or public_tokenizers.path(VOCABULARY))))
+    proto = serialise(read_ranks(path or public_tokenizers.path(VOCABULARY)))
+    key = (hashlib.sha256(proto).hexdigest(), pattern)
+    model = spark.sparkContext.broadcast(proto)
 
     @F.arrow_udf("struct<ids:binary,decoded:binary>")
     def encoded(text: pa.Array) -> pa.Array:
-        key = (id(model.value), pattern)
-        codec = _codecs.get(key) or _codecs.setdefault(key, Codec(model.value, pattern))
+        if key not in _codecs:
+            _codecs.clear()  # a worker holds one vocabulary at a time
+            _codecs[key] = Codec(model.value, pattern)
+        codec = _codecs[key]
         ids, back = [], []
         for t in text:
             ids.append(codec.encode(t.as_py()))
