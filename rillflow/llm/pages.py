@@ -15,7 +15,7 @@ from .common import cut, pick, table
 
 # How HTML elements behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe svg math textarea select title object canvas audio video".split())
+RAW = frozenset("script style template iframe textarea select title".split())
 BLOCK = frozenset("html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 ENDS_P = BLOCK - {"html", "body", "p"} | {"p"}
 INSIDE = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
