@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -52,8 +54,11 @@ def added(df: DataFrame, source: str, **new: Callable[[Column], Column]) -> Data
 def shared_dir(spark: SparkSession) -> str:
     """The folder for cuts that driver and executors share: spark.checkpoint.dir where it is set."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:  # only without a cluster's setting, as in tests
+    if not path:  # only without a cluster, as in tests
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="spark-cuts-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 

@@ -11,7 +11,7 @@ BINS_LOG2 = 5  # components of a fingerprint
 TAKEN = 2  # k-mers of a component
 PLACE = 28  # low bits of a sort key that hold a k-mer's place; the others hold its hash
 BUCKET_ROWS = 2000
-MAX_BUCKETS = 256
+MAX_BUCKETS = 4096  # a bound of the plan's size; beyond it ranges hold more rows and are sorted with spill
 
 
 def fingerprints(df: DataFrame, **texts: str) -> DataFrame:

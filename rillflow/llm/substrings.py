@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import SCHEMA, bucket_bits, exchanged, sent
+from .blocks import CHUNK, SCHEMA, bucket_bits, exchanged, sent
 from .common import bitmap, cut, in_bitmap, pick, table
 from .suffixes import permuted_prefixes, suffix_array
 from .words import _BASE, _TABLE, _powers, mix, slices
@@ -106,7 +106,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[tuple[np.n
             s = Segments(texts)
             held.append((s.anchor, s.content, ids[lo + s.doc], s.lo))
             n += len(s.lo)
-            if n >= max(60_000, 256 << bits):
+            if n >= min(CHUNK, max(60_000, 256 << bits)):
                 yield tuple(map(np.concatenate, zip(*held)))
                 held, n = [], 0
     if n:
