@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 BLOCKS = frozenset("address article aside blockquote body caption dd div dl dt figure figcaption footer form h1 h2 h3 h4 h5 h6 header html li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
 DROPPED = frozenset("head script style title template noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+MOST_SPANNED = 1000  # columns that a cell can span in HTML
 MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`"}
 
 
+_MARKERS = dict.fromkeys((1, 2, 3))  # the converter's own marks, dropped from texts
+
+
 def _cell(text: str) -> str:
     lines = [x.strip() for x in text.split("\n")]
     return re.sub(r"(?<!\\)\|", r"\\|", "<br>".join(x for x in lines if x))
@@ -49,6 +53,7 @@ class _Converter(HTMLParser):
             self.end()
 
     def handle_data(self, data: str) -> None:
+        data = data.translate(_MARKERS)
         if any(t == "pre" for t, *_ in self.open):
             self.say(data)
         else:
@@ -84,7 +89,7 @@ class _Converter(HTMLParser):
             text = "\n\n" + "\n".join(f"> {x}".rstrip() for x in re.sub(r"\n{3,}", "\n\n", inner).split("\n")) + "\n\n"
         elif tag in ("td", "th"):
             span = a.get("colspan") or ""
-            text = _cell(text) + "\x02" * (max(1, int(span)) if span.isdigit() else 1)
+            text = _cell(text) + "\x02" * (min(MOST_SPANNED, max(1, int(span))) if re.fullmatch("[0-9]{1,9}", span) else 1)
         elif tag == "tr":
             text = "\x03" + text
         elif tag == "table":

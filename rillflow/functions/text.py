@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,6 +60,16 @@ def extension(name: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(name, F.lit("")), r"(?i)\.([a-z0-9]{1,6})$", 1))
 
 
+def extension_label(name: Column) -> Column:
+    """The extension for an inventory, or that there is none."""
+    return F.coalesce(F.nullif(extension(name), F.lit("")), F.lit("(no extension)"))
+
+
+def host_label(url: Column) -> Column:
+    """The host for an inventory, or that there is no URL or none that can be read."""
+    return F.when(F.coalesce(url, F.lit("")) == "", F.lit("(no url)")).otherwise(F.coalesce(F.nullif(host(url), F.lit("")), F.lit("(unparseable)")))
+
+
 def host(url: Column) -> Column:
     """The lower-case host of an absolute URL, else empty."""
     return F.coalesce(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit(""))
@@ -76,6 +86,11 @@ def noise_count(c: Column) -> Column:
     return (F.length(c) - F.length(F.regexp_replace(c, NOISE, ""))).cast("long")
 
 
+def noise_stripped(c: Column) -> Column:
+    """Without the characters that ``noise_count`` counts; line ends go too, nothing is trimmed."""
+    return F.regexp_replace(c, NOISE, "")
+
+
 def replaced(c: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     """Literal replacements, one after the other."""
     for old, new in pairs:
@@ -97,15 +112,28 @@ def escaped_cell(c: Column) -> Column:
     return F.regexp_replace(F.array_join(F.filter(lines, lambda x: x != ""), "<br>"), r"(?<!\\)\|", r"\\|")
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` made once, although lambdas in ``then`` use it for each element."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def markdown_table(rows: Column) -> Column:
     """Rows of cell texts as a Markdown table: empty rows dropped, short ones padded, the first is the header."""
     cells = F.transform(rows, lambda r: F.transform(r, lambda x: escaped_cell(F.coalesce(x, F.lit("")))))
+
+    def table(held: Column, width: Column) -> Column:
+        line = lambda r: F.concat(F.lit("| "), F.array_join(F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))), " | "), F.lit(" |"))
+        rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))
+        joined = lambda lines: F.array_join(F.concat(F.slice(lines, 1, 1), F.array(rule), F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1)))), "\n")
+        return F.when(F.size(held) > 0, _once(F.transform(held, line), joined)).otherwise(F.lit(""))
+
     held = F.filter(cells, lambda r: F.exists(r, lambda x: x != ""))
-    width = F.array_max(F.transform(held, lambda r: F.size(r)))
-    line = lambda r: F.concat(F.lit("| "), F.array_join(F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))), " | "), F.lit(" |"))
-    rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))
-    lines = F.transform(held, line)
-    return F.when(F.size(held) > 0, F.array_join(F.concat(F.slice(lines, 1, 1), F.array(rule), F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1)))), "\n")).otherwise(F.lit(""))
+    return F.coalesce(_once(held, lambda h: _once(F.coalesce(F.array_max(F.transform(h, lambda r: F.size(r))), F.lit(0)), lambda w: table(h, w))), F.lit(""))
+
+
+def sheet_table(rows: Column) -> Column:
+    """A sheet's rows as a Markdown table, or that it is empty."""
+    return _once(markdown_table(rows), lambda t: F.coalesce(F.nullif(t, F.lit("")), F.lit("_(empty sheet)_")))
 
 
 def meta_line(parts: Sequence[tuple[str, Column]]) -> Column:

@@ -10,9 +10,9 @@ from rillflow.functions import text as T
 
 
 def extracted(df: DataFrame, id_col: str, text_col: str, pattern: str = L.ANCHOR, url_group: int = 1, label_group: int = 2) -> DataFrame:
-    """A row per link: id, ``pos`` (from 0), ``url``, ``label``."""
+    """A row per link: id, ``pos`` (from 0), ``url``, ``label`` (of anchors without the markup in it)."""
     one = lambda g: F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(g))
-    return df.select(id_col, F.posexplode(F.arrays_zip(one(url_group).alias("url"), one(label_group).alias("label"))).alias("pos", "x")).select(id_col, "pos", "x.url", "x.label")
+    return df.select(id_col, F.posexplode(F.arrays_zip(one(url_group).alias("url"), one(label_group).alias("label"))).alias("pos", "x")).select(id_col, "pos", "x.url", (F.regexp_replace("x.label", "<[^>]*>", "") if pattern == L.ANCHOR else F.col("x.label")).alias("label"))
 
 
 def resolved(links: DataFrame, index: DataFrame, key: str) -> DataFrame:
@@ -32,13 +32,23 @@ def rewritten(notes: DataFrame, index: DataFrame, base_host: str, *, id_col: str
     text = F.col(text_col)
     groups = [F.regexp_extract_all(text, F.lit(L.MARKDOWN_LINK), F.lit(g)) for g in range(4)]
     notes = notes.select(F.col(id_col).alias("note"), text.alias("text"), F.col(folder_col).alias("folder"), F.split(text, L.MARKDOWN_LINK, -1).alias("gaps"), F.arrays_zip(*[g.alias(n) for g, n in zip(groups, ("whole", "label", "url", "title"))]).alias("hits"))
-    # A link's line starts with a pipe if what stands since the last line break before it does.
-    before = lambda k: F.array_join(F.concat(F.flatten(F.zip_with(F.slice(F.col("gaps"), 1, k), F.slice(F.col("hits"), 1, k), lambda g, h: F.array(g, h["whole"]))), F.array(F.element_at(F.col("gaps"), k + 1))), "")
-    one = notes.where(F.size("hits") > 0).select("note", "folder", "gaps", "hits", F.posexplode("hits").alias("pos", "h"))
-    one = one.select("note", "folder", "pos", "h.*", F.substring_index(before(F.col("pos")), "\n", -1).alias("line"))
+    # A link's line starts with a pipe if what stands since the last line break before it does: of each
+    # piece of text only the first character after its last break counts, so a link carries one flag.
+    start = F.struct(F.lit("").alias("at"), F.array().cast("array<boolean>").alias("rows"))
+
+    def next_line(a: Column, p: Column) -> Column:
+        since = F.when(p["gap"].contains("\n"), F.substring_index(p["gap"], "\n", -1)).otherwise(F.concat(a["at"], p["gap"]))
+        first = F.left(F.concat(since, p["whole"]), F.lit(1))
+        after = F.when(p["whole"].contains("\n"), F.left(F.substring_index(p["whole"], "\n", -1), F.lit(1))).otherwise(first)
+        return F.struct(after.alias("at"), F.concat(a["rows"], F.array(first == "|")).alias("rows"))
+
+    pieces = F.zip_with(F.slice("gaps", 1, F.size("hits")), "hits", lambda g, h: F.struct(g.alias("gap"), h["whole"].alias("whole")))
+    rows = F.aggregate(pieces, start, next_line, lambda a: a["rows"])
+    one = notes.where(F.size("hits") > 0).select("note", "folder", F.posexplode(F.zip_with("hits", rows, lambda h, r: F.struct(h.alias("h"), r.alias("in_row")))).alias("pos", "x"))
+    one = one.select("note", "folder", "pos", "x.h.*", "x.in_row")
     one = one.withColumn("key", L.url_key(F.col("url"), base_host)).join(index, "key", "left")
     label = T.trimmed(F.col("label"))
-    in_row = F.concat(F.col("line"), F.col("whole")).startswith("|")
+    in_row = F.col("in_row")
     new = (
         F.when(F.col("basename").isNull(), F.col("whole"))
         .when(label.contains("!["), F.concat(F.lit("["), F.col("label"), F.lit("](<"), T.relative_path(F.col("folder"), F.col("full_path")), F.lit(">"), F.coalesce("title", F.lit("")), F.lit(")")))
@@ -67,8 +77,3 @@ def followed(start: DataFrame, edges: DataFrame, rounds: int = 3) -> DataFrame:
         frontier = new.join(done, "node", "left_anti").withColumn("round", F.lit(r))
         done = done.unionByName(frontier)
     return done
-
-
-def page_path(url: Column) -> Column:
-    """A URL's path without query and fragment."""
-    return F.regexp_replace(F.regexp_replace(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", ""), r"[?#].*$", "")

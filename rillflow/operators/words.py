@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Letter pairs and triples that a font may draw as one glyph, and the sign of a lost one.
@@ -121,5 +121,4 @@ def first_cell(items: DataFrame, cells: DataFrame, page: str, snap: float) -> Da
     spread = cells.withColumn("gx", F.explode(F.sequence(square(F.col("x0")), square(F.col("x1"))))).withColumn("gy", F.explode(F.sequence(square(F.col("y0")), square(F.col("y1")))))
     placed = items.withColumn("gx", square(F.col("x"))).withColumn("gy", square(F.col("y")))
     inside = placed.join(spread, [page, "gx", "gy"]).where("x > x0 and x < x1 and y > y0 and y < y1")
-    first = Window.partitionBy(page, "item").orderBy("cell")
-    return inside.withColumn("nth", F.row_number().over(first)).where("nth = 1").select(page, "item", "cell")
+    return inside.groupBy(page, "item").agg(F.min("cell").alias("cell"))

@@ -1 +1,5 @@
-"""Spark-first content corpus engine: plans."""
+"""Queries over the given tables; importing this registers all of them."""
+
+from . import note_queries, queries
+
+__all__ = ["note_queries", "queries"]

@@ -183,7 +183,7 @@ def escape_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT l_orderkey, '| Line | Flag | Note |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || l_linenumber || ' | ' || l_returnflag || ' | ' || CASE WHEN l_linenumber % 2 = 0 THEN 'a\\|b<br>c' ELSE '' END || ' |', chr(10) ORDER BY l_linenumber, l_partkey, l_suppkey) AS md
+    """SELECT l_orderkey, '| Line | Flag | Note |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || l_linenumber || ' | ' || l_returnflag || ' | ' || CASE WHEN l_linenumber % 2 = 0 THEN 'a\\|b<br>c' ELSE '' END || ' |', chr(10) ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) AS md
 FROM lineitem GROUP BY l_orderkey""".replace("\\\\", "\\")
 )
 def markdown_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,7 +413,7 @@ def html_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH k AS (SELECT l_orderkey, count(*) AS n, string_agg('| ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' | ' || replace(l_returnflag || '|' || l_linestatus, '|', '\\|') || ' | ' || CAST(l_linenumber AS VARCHAR) || ' |', chr(10) ORDER BY l_linenumber, l_partkey, l_suppkey) AS t FROM lineitem GROUP BY 1)
+    """WITH k AS (SELECT l_orderkey, count(*) AS n, string_agg('| ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' | ' || replace(l_returnflag || '|' || l_linestatus, '|', '\\|') || ' | ' || CAST(l_linenumber AS VARCHAR) || ' |', chr(10) ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus) AS t FROM lineitem GROUP BY 1)
 SELECT l_orderkey, '## Rubric' || chr(10) || chr(10) || '### Order (' || n || ' pts)' || chr(10) || chr(10) || '| Points | Rating | Detail |' || chr(10) || '| --- | --- | --- |' || chr(10) || t AS md FROM k""".replace("\\\\", "\\")
 )
 def rubric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
