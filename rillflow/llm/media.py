@@ -12,12 +12,12 @@ corners that agree on one turn, scale and shift.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bitmap, cut, in_bitmap, joined_by_few, pick, table
@@ -193,20 +193,36 @@ def _probes(held: np.ndarray):
     return run
 
 
+def _apart(table: int | None = None) -> Column:
+    """Bits in which the corners of q and i differ, of the whole descriptors or of a table's key."""
+    key = (1 << 128) - 1 if table is None else ((1 << KEY) - 1) << table * KEY
+    part = lambda bits: F.lit(bits - (1 << 64) if bits >> 63 else bits)  # noqa: E731  a signed long
+    return sum(F.bit_count(F.col(f"q.{k}").bitwiseXOR(F.col(f"i.{k}")).bitwiseAND(part(key >> at & (1 << 64) - 1))) for k, at in (("lo", 0), ("hi", 64)))
+
+
 def matches(queries: DataFrame, index: DataFrame) -> DataFrame:
-    """Corners at their places, of queries and of the index -> ``query_id, match_id, inliers`` of images in consensus."""
+    """Corners at their places, of queries and of the index -> ``query_id, match_id, inliers`` of images in consensus.
+
+    Two corners that meet in several tables are paired by the first of those only.
+    """
     q, i = queries.alias("q"), index.alias("i")
-    apart = sum(F.bit_count(F.col(f"q.{k}").bitwiseXOR(F.col(f"i.{k}"))) for k in ("lo", "hi"))
-    near = q.join(i.hint("merge"), (F.col("q.place") == F.col("i.place")) & (apart <= NEAR))
+    table = F.shiftright("q.place", KEY)
+    first = [(table <= t) | (_apart(t) > PROBED) for t in range(TABLES - 1)]
+    near = q.join(i.hint("merge"), reduce(Column.__and__, first, (F.col("q.place") == F.col("i.place")) & (_apart() <= NEAR)))
     turn = F.pmod(F.col("q.turn") - F.col("i.turn"), F.lit(TURNS))
     a = turn * (2 * np.pi / TURNS)
     factor = F.pow(F.lit(1.5), F.col("i.scale") - F.col("q.scale"))
     tx = F.col("q.x") - factor * (F.cos(a) * F.col("i.x") - F.sin(a) * F.col("i.y"))
     ty = F.col("q.y") - factor * (F.sin(a) * F.col("i.x") + F.cos(a) * F.col("i.y"))
-    votes = near.select(F.col("q.id").alias("query_id"), F.col("i.id").alias("match_id"), turn.alias("turn"), (F.col("i.scale") - F.col("q.scale")).alias("zoom"), tx.alias("tx"), ty.alias("ty"), F.struct("q.x", "q.y", "q.scale").alias("corner"))
-    grids = F.array(*[F.struct(F.floor((F.col("tx") + ox) / 12).alias("gx"), F.floor((F.col("ty") + oy) / 12).alias("gy"), F.lit(ox + oy * 2).alias("grid")) for ox in (0, 6) for oy in (0, 6)])
-    agreed = votes.withColumn("g", F.explode(grids)).groupBy("query_id", "match_id", "turn", "zoom", "g").agg(F.count_distinct("corner").alias("inliers"))
-    return agreed.groupBy("query_id", "match_id").agg(F.max("inliers").alias("inliers")).where(F.col("inliers") >= CONSENSUS)
+    vote = F.struct(tx.alias("tx"), ty.alias("ty"), F.struct("q.x", "q.y", "q.scale").alias("corner")).alias("vote")
+    votes = near.select(F.col("q.id").alias("query_id"), F.col("i.id").alias("match_id"), turn.alias("turn"), (F.col("i.scale") - F.col("q.scale")).alias("zoom"), vote)
+    # The votes of two images on one turn and zoom are at most as many as pairs of their few corners.
+    agreed = votes.groupBy("query_id", "match_id", "turn", "zoom").agg(F.collect_set("vote").alias("votes")).where(F.size("votes") >= CONSENSUS)
+    cell = lambda ox, oy: lambda v: F.struct(F.floor((v.tx + ox) / 12).alias("gx"), F.floor((v.ty + oy) / 12).alias("gy"), v.corner.alias("corner"))
+    grids = {f"g{ox}{oy}": F.array_distinct(F.transform("votes", cell(ox, oy))) for ox in (0, 6) for oy in (0, 6)}
+    fullest = lambda g: F.array_max(F.transform(g, lambda c: F.size(F.filter(g, lambda d: (d.gx == c.gx) & (d.gy == c.gy)))))
+    counted = agreed.select("query_id", "match_id", *(g.alias(n) for n, g in grids.items())).select("query_id", "match_id", F.greatest(*map(fullest, grids)).alias("inliers"))
+    return counted.groupBy("query_id", "match_id").agg(F.max("inliers").cast("long").alias("inliers")).where(F.col("inliers") >= CONSENSUS)
 
 
 def classes(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
