@@ -40,6 +40,21 @@ def spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0)
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
+def outside(found: Column, base: Column) -> Column:
+    """Of ``found`` (disjoint, by start) the spans that overlap none of ``base`` (by start): one sweep over both."""
+    both = F.array_sort(F.concat(base, found))
+    none = F.array().cast(f"array<{SPAN}>")
+    empty = F.struct(F.lit(0).alias("base_end"), none.alias("open"), none.alias("out"))
+
+    def step(a: Column, s: Column) -> Column:
+        whole = F.filter(a["open"], lambda o: o["end"] <= s["start"])  # the span before, unless this one starts inside it
+        out = F.when(F.size(whole) > 0, F.concat(a["out"], whole)).otherwise(a["out"])
+        opened = F.when((s["kind"] == 3) & (a["base_end"] <= s["start"]), F.array(s)).otherwise(none)
+        return F.struct(F.when(s["kind"] == 3, a["base_end"]).otherwise(F.greatest(a["base_end"], s["end"])).alias("base_end"), opened.alias("open"), out.alias("out"))
+
+    return F.aggregate(both, empty, step, lambda a: F.concat(a["out"], a["open"]))
+
+
 def listed(found: Column) -> Column:
     """``kind:start:end`` by start, then kind as listed, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -64,11 +79,11 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", own
     d = pick(docs, doc_id=id_col, text=text_col, owner=owner_col, **repo)
     text = F.coalesce("text", F.lit(""))
     base = F.array_sort(F.concat(spans(text, ASSIGN, 0, 1, ASSIGN_LEAST), spans(text, ACCESS, 1), spans(text, HEX, 2)))
-    apart = lambda s: F.concat(F.filter(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     digest = lambda a: F.transform(a, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.sha2(s["value"], 256).alias("digest")))
     d = (
         d.select("doc_id", F.coalesce(F.col("owner").cast("string"), F.lit("\x00")).alias("owner"), F.concat_ws("\x00", *[F.coalesce(F.col(r).cast("string"), F.lit("\x01")) for r in repo]).alias("repo"), F.col("text"), F.xxhash64("text").alias("text_hash"), base.alias("base"))
-        .withColumn("opaque", F.filter(spans(text, OPAQUE, 3), lambda s: F.size(apart(s)) == 0))
+        .withColumn("opaque", spans(text, OPAQUE, 3))
+        .withColumn("opaque", outside(F.col("opaque"), F.col("base")))
         .select("doc_id", "text_hash", "owner", "repo", digest(F.col("base")).alias("base"), digest(F.col("opaque")).alias("opaque"))
     )
     d = cut(d.withColumn("all", F.concat("base", "opaque")))  # the texts are scanned once

@@ -92,3 +92,17 @@ def test_secrets_edges(spark):
     assert scan(documents(spark, ["a"]).limit(0)).count() == 0
     twice = documents(spark, ["token=abcdefgh"])
     assert scan(twice.unionAll(twice)).count() == 2
+
+
+def test_opaque_runs_beside_base_spans_of_a_long_text(spark):
+    parts = []
+    for i in range(3000):
+        h = hashlib.sha1(str(i).encode()).hexdigest()
+        parts.append([h, "token=" + h[:9], f"Q{h[:22]}Z", "AKIA" + h[:18].upper(), f"zz{h}Gg", f"secret: Q{h[:25]}"][i % 6])
+    text = " ".join(parts)
+    row = scan(documents(spark, [text])).collect()[0]
+    _, base = base_spans(text)
+    at = [tuple(map(int, x[2].split(":")[1:])) for x in base]
+    opaque = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
+    want = [o for o in opaque if not any(b[0] < o[1] and o[0] < b[1] for b in at)]
+    assert len(want) >= 500 and [(s.start, s.end) for s in row.found if s.kind == 3] == want
