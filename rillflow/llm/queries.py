@@ -18,10 +18,11 @@ from .pages import op7_pages
 from .secrets import op6_secrets
 from .substrings import op3_substrings
 from .toxicity import op4_toxicity
+from .whitening import op12_whitening
 from .windows import op9_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_jaccard, op3_substrings, op4_toxicity, op5_bpe, op6_secrets, op7_pages, op8_order_minhash, op9_windows, op10_media, op11_manifest, op13_chunk_reuse)
+    f.__name__: f for f in (op1_mixing, op2_jaccard, op3_substrings, op4_toxicity, op5_bpe, op6_secrets, op7_pages, op8_order_minhash, op9_windows, op10_media, op11_manifest, op12_whitening, op13_chunk_reuse)
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_jaccard": jaccard.OP2_SQL, "op9_windows": windows.OP9_SQL, "op11_manifest": manifest.OP11_SQL}
