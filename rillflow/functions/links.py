@@ -1,19 +1,108 @@
-"""Links in Markdown and HTML as column expressions: patterns, targets and keys."""
+"""Links in Markdown and HTML as column expressions: scanning, targets and keys."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-def _target(label: str) -> str:
-    """A label in brackets, then an address and an optional quoted title in parentheses; groups: label, address, title."""
-    title = r"(\s+" + '"' + r"[^" + '"' + r"]*" + '"' + r")?"
-    return rf"\[({label})\]\(\s*([^\s)]+){title}\s*\)"
+_BRACKET = re.compile(r"[\[\]]")
+_SCANNED = pa.struct([("gaps", pa.list_(pa.string())), ("hits", pa.list_(pa.struct([(n, pa.string()) for n in ("whole", "label", "url", "title")])))])
+
+
+class _Next:
+    """Where the next match of a pattern stands, for places that only grow: a text is searched once."""
+
+    def __init__(self, pattern: str, text: str):
+        self.text, self.search, self.at, self.found = text, re.compile(pattern).search, -1, -1
+
+    def __call__(self, at: int) -> int:
+        if not self.at <= at <= self.found:
+            m = self.search(self.text, at)
+            self.at, self.found = at, m.start() if m else len(self.text)
+        return self.found
+
+
+def _addresses(text: str) -> Callable[[int], tuple[int, int, int, int] | None]:
+    """A function of where the inside of parentheses begins, asked in rising order: begin and end of the address, ends of its title and of it all."""
+    shown, stop, past, quote = (_Next(p, text) for p in (r"\S", r"[\s)]", r"\S", '"'))
+
+    def address(at: int) -> tuple[int, int, int, int] | None:
+        start = shown(at)
+        end = stop(start)
+        after = title = past(end)
+        if end < after and text.startswith('"', after):
+            title = quote(after + 1) + 1
+            after = re.compile(r"\s*").match(text, title).end()
+        else:
+            title = end
+        return (start, end, title, after + 1) if start < end and text.startswith(")", after) else None
+
+    return address
+
+
+_Span = tuple[int, int, tuple[int, int, int, int]]
+
+
+def _links(text: str) -> Iterator[_Span]:
+    """Links by where they start, with the end of the label; brackets are paired, and a label may hold pairs that hold none themselves."""
+    address = _addresses(text)
+    opened: list[list[int]] = []  # start, levels of pairs inside
+    found = []
+    for m in _BRACKET.finditer(text):
+        at = m.start()
+        if text[at] == "[":
+            opened.append([at, 0])
+        elif opened:
+            start, inside = opened.pop()
+            if opened:
+                opened[-1][1] = max(opened[-1][1], inside + 1)
+            image = start > 0 and text[start - 1] == "!"
+            if inside <= 1 and not image and text.startswith("(", at + 1) and (to := address(at + 2)):
+                found.append((start, at, to))
+    yield from sorted(found)
+
+
+def _images(text: str) -> Iterator[_Span]:
+    """Images: an exclamation mark before a label that goes up to the next closing bracket."""
+    address, closing = _addresses(text), _Next("]", text)
+    for m in re.finditer(r"!\[", text):
+        close = closing(m.end())
+        if text.startswith("(", close + 1) and (to := address(close + 2)):
+            yield m.start(), close, to
+
+
+def scanner(images: bool = False) -> Callable[[Column], Column]:
+    """A column function: Markdown -> struct(``hits``: whole, label, url, title; ``gaps``: the text around them, one more).
+
+    Hits are links, or else images; of two that overlap the one that starts first counts. An
+    address has no blanks and no closing parenthesis; a title is quoted and keeps the blanks before
+    it. Brackets count also after a backslash. Null gives null.
+    """
+    each = _images if images else _links
+
+    def scanned(text: str | None) -> dict | None:
+        if text is None:
+            return None
+        gaps, hits, last = [], [], 0
+        for start, close, (url, blank, title, end) in each(text) if "](" in text else ():
+            if start >= last:
+                gaps.append(text[last:start])
+                label = text[start + 1 + images : close]
+                hits.append({"whole": text[start:end], "label": label, "url": text[url:blank], "title": text[blank:title] or None})
+                last = end
+        return {"gaps": [*gaps, text[last:]], "hits": hits}
+
+    @F.arrow_udf("struct<gaps:array<string>,hits:array<struct<whole:string,label:string,url:string,title:string>>>")
+    def scan(text: pa.Array) -> pa.Array:
+        return pa.array([scanned(t.as_py()) for t in text], _SCANNED)
+
+    return scan
 
 
-_PLAIN = r"[^\[\]]"
-MARKDOWN_IMAGE = "!" + _target(f"{_PLAIN}*")
-MARKDOWN_LINK = "(?<!!)" + _target(rf"(?:{_PLAIN}|\[{_PLAIN}*\])*")  # no image, but a label may hold one level of brackets
 ANCHOR = r'<a\s[^>]*href="([^"]*)"[^>]*>((?s:.*?))</a>'  # a label may hold markup
 # Kinds of targets by path, tried in this order.
 TARGETS = (

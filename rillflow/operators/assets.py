@@ -24,13 +24,12 @@ def localised(notes: DataFrame, files: DataFrame, base_host: str, *, id_col: str
     distinct addresses are joined, and each image is rewritten where it stands, so an address that
     begins another can't damage it. Returns id, ``markdown``, ``localised`` (distinct addresses).
     """
-    image = lambda g: F.regexp_extract_all(F.col(text_col), F.lit(L.MARKDOWN_IMAGE), F.lit(g))
-    parts = notes.select(F.col(id_col).alias("note"), F.col(text_col).alias("text"), F.split(text_col, L.MARKDOWN_IMAGE, -1).alias("gaps"), F.arrays_zip(image(1).alias("alt"), image(2).alias("url"), image(3).alias("title")).alias("hits"))
+    parts = notes.select(F.col(id_col).alias("note"), F.col(text_col).alias("text"), L.scanner(images=True)(F.col(text_col)).alias("found")).select("note", "text", "found.gaps", "found.hits")
     urls = parts.select("note", F.explode(F.array_distinct(F.transform("hits", lambda h: h["url"]))).alias("url")).withColumn("file_id", file_ref(F.col("url"), base_host)).where("file_id is not null")
     ext = T.extension(F.col("name"))
     local = F.concat(F.lit("assets/"), "file_id", F.when(ext == "", F.lit("")).otherwise(F.concat(F.lit("."), ext)))
     found = urls.join(files.select("file_id", "name").dropDuplicates(["file_id"]), "file_id").groupBy("note").agg(F.map_from_entries(F.collect_list(F.struct("url", local.alias("to")))).alias("to"))
-    written = lambda h: F.concat(F.lit("!["), h["alt"], F.lit("]("), F.coalesce(F.element_at("to", h["url"]), h["url"]), F.coalesce(h["title"], F.lit("")), F.lit(")"))
+    written = lambda h: F.concat(F.lit("!["), h["label"], F.lit("]("), F.coalesce(F.element_at("to", h["url"]), h["url"]), F.coalesce(h["title"], F.lit("")), F.lit(")"))
     back = F.array_join(F.concat(F.flatten(F.zip_with(F.slice("gaps", 1, F.size("hits")), F.col("hits"), lambda g, h: F.array(g, written(h)))), F.array(F.element_at("gaps", -1))), "")
     return parts.join(found, "note", "left").select(F.col("note").alias(id_col), F.when(F.col("to").isNull(), F.col("text")).otherwise(back).alias("markdown"), F.when(F.col("to").isNull(), 0).otherwise(F.size("to")).cast("long").alias("localised"))
 

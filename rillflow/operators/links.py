@@ -30,8 +30,7 @@ def rewritten(notes: DataFrame, index: DataFrame, base_host: str, *, id_col: str
     Returns id, ``markdown``, ``rewritten`` (links), ``unresolved`` (keys of pages and files not in the index).
     """
     text = F.col(text_col)
-    groups = [F.regexp_extract_all(text, F.lit(L.MARKDOWN_LINK), F.lit(g)) for g in range(4)]
-    notes = notes.select(F.col(id_col).alias("note"), text.alias("text"), F.col(folder_col).alias("folder"), F.split(text, L.MARKDOWN_LINK, -1).alias("gaps"), F.arrays_zip(*[g.alias(n) for g, n in zip(groups, ("whole", "label", "url", "title"))]).alias("hits"))
+    notes = notes.select(F.col(id_col).alias("note"), text.alias("text"), F.col(folder_col).alias("folder"), L.scanner()(text).alias("found")).select("note", "text", "folder", "found.gaps", "found.hits")
     # A link's line starts with a pipe if what stands since the last line break before it does: of each
     # piece of text only the first character after its last break counts, so a link carries one flag.
     start = F.struct(F.lit("").alias("at"), F.array().cast("array<boolean>").alias("rows"))

@@ -142,15 +142,20 @@ def unfiled_page_notes(pages: DataFrame, in_modules: DataFrame, scraped: str) ->
     return d.select("*", F.concat(F.lit("Unfiled Pages/"), T.safe_name(title), F.lit(".md")).alias("path"), written(fields, title, F.lit(NOT_LINKED), _or(F.col("md"), EMPTY_PAGE)).alias("note")).drop("md", "slug")
 
 
-def unfiled_file_notes(files: DataFrame, in_modules: DataFrame, present: DataFrame, scraped: str) -> DataFrame:
-    """Files of a course's file area that no module holds and that aren't there yet; a note where text was extracted.
+def unfiled_file_notes(files: DataFrame, in_modules: DataFrame, present: DataFrame, scraped: str, *last: Column) -> DataFrame:
+    """Files of a course's file area that no module holds and whose path isn't taken; a note where text was extracted.
 
     ``files``: ``course_id, course_code, id, display_name, url, remark, extracted``; ``in_modules``:
-    ``course_id, id``; ``present``: ``course_id, path``. Files without an address are left out.
+    ``course_id, id``; ``present``: ``course_id, path``. Paths are compared without case. Of several new
+    files with one path the first by ``last`` (else by id) takes it and the others are left out, as
+    are files without an address.
     """
     name = T.safe_name(F.col("display_name"))
-    d = files.where(~_no(F.col("url"))).withColumn("path", F.concat(F.lit("Unfiled Files/"), name))
-    d = d.join(in_modules.select("course_id", "id").distinct(), ["course_id", "id"], "left_anti").join(present.select("course_id", "path").distinct(), ["course_id", "path"], "left_anti")
+    d = files.where(~_no(F.col("url"))).withColumn("path", F.concat(F.lit("Unfiled Files/"), name)).withColumn("place", F.lower("path"))
+    there = present.select("course_id", F.lower("path").alias("place")).distinct()
+    d = d.join(in_modules.select("course_id", "id").distinct(), ["course_id", "id"], "left_anti").join(there, ["course_id", "place"], "left_anti")
+    first = F.min_by(F.struct(*[c for c in d.columns if c not in ("course_id", "place")]), F.struct(*(last or (F.col("id"),)))).alias("x")
+    d = d.groupBy("course_id", "place").agg(first).select("course_id", "x.*")
     fields = extra_fields(scraped, ("title", F.col("display_name")), ("type", F.lit("File")), ("source_file", name))
     note = written(fields, name, F.concat(F.lit(NOT_ATTACHED), "remark"), F.col("extracted"))
     return d.select("*", F.when(F.col("extracted").isNotNull(), note).alias("note"))

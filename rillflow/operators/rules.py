@@ -41,33 +41,45 @@ def removes(configured: bool, prune: bool, no_prune: bool) -> bool:
 
 
 def split_note(note: Column) -> dict[str, Column]:
-    """A generated note's ``front``, ``head``, ``remark`` and ``body``; empty strings where it isn't one."""
-    pattern = r"^(---\n(?s:.*?)\n---\n)(# [^\n]*\n\n)(> [^\n]*)\n\n((?s:.*))$"
-    return {n: F.regexp_extract(note, pattern, i + 1) for i, n in enumerate(("front", "head", "remark", "body"))}
+    """A generated note's ``front``, ``head``, ``remark`` and ``body``, by where its lines end; null where it isn't one.
+
+    The front matter goes from a first line of dashes to the next one, the heading is the line
+    after it and a blank one, and the remark is a quoted line before another blank one.
+    """
+    line_end = lambda c: F.instr(c, "\n")
+    from_ = lambda c, at: F.substring(c, at, F.length(c))
+    closed = F.locate("\n---\n", note, 5)
+    front = F.when(note.startswith("---\n") & (closed > 0), F.left(note, closed + 4))
+    rest = from_(note, F.length(front) + 1)
+    head = F.when(rest.startswith("# ") & (F.substring(rest, line_end(rest) + 1, F.lit(1)) == "\n"), F.left(rest, line_end(rest) + 1))
+    rest = from_(rest, F.length(head) + 1)
+    remark = F.when(rest.startswith("> ") & (F.substring(rest, line_end(rest) + 1, F.lit(1)) == "\n"), F.left(rest, line_end(rest) - 1))
+    return {"front": front, "head": head, "remark": remark, "body": from_(rest, F.length(remark) + 3)}
+
+
+def with_field(front: Column, name: str, value: Column) -> Column:
+    """Front matter whose line of ``name`` says ``value``; one without such a line, or a null value, changes nothing."""
+    begin = f'{name}: "'
+    lines = F.transform(F.split(front, "\n", -1), lambda x: F.when(x.startswith(begin) & x.endswith('"'), F.concat(F.lit(begin), value, F.lit('"'))).otherwise(x))
+    return F.coalesce(F.array_join(lines, "\n"), front)
 
 
 def reconverted(notes: DataFrame, extracted: DataFrame, key: str = "original") -> DataFrame:
     """Notes made again from their originals: ``status`` and ``new``.
 
     ``notes``: ``path, original, note``; ``extracted``: ``remark, text`` and ``pages`` (a count that the
-    front matter holds, null if none) by ``key``. Only notes that were provably extracted from
-    that file are touched: ``skipped`` are others, ``failed`` those without text now, and ``unchanged``
-    and ``updated`` tell whether anything differs. Line ends are made LF first.
+    front matter holds, null if none) by ``key``. A note is provably made from its original if its
+    front matter names it and its remark, perhaps after other words, begins like an extraction's.
+    Others are ``skipped``; ``failed`` are those without text now, and ``unchanged`` and ``updated`` tell
+    whether anything differs. Line ends are made LF first.
     """
-    d = notes.withColumn("note", F.replace("note", F.lit("\r\n"), F.lit("\n"))).join(extracted.withColumnRenamed("remark", "new_remark"), key, "left")
-    parts = split_note(F.col("note"))
-    d = d.select("*", *[c.alias(n) for n, c in parts.items()])
-    own = F.col("front").contains(F.concat(F.lit('\nsource_file: "'), T.yaml_escaped(F.col("original")), F.lit('"\n')))
-    made = rf"({'|'.join(EXTRACTED)}) `.*$"
-    count = F.concat(F.lit('\npages: "'), F.col("pages").cast("string"), F.lit('"\n'))
-    front = F.when(F.col("pages").isNotNull(), F.concat(F.split("front", r'\npages: "[^"\n]*"\n', 2)[0], count, F.split("front", r'\npages: "[^"\n]*"\n', 2)[1])).otherwise(F.col("front"))
-    front = F.coalesce(front, "front")  # a front matter without the field stays
-    kept = F.regexp_replace("remark", made, "")
-    new = F.concat(front, "head", kept, "new_remark", F.lit("\n\n"), "text", F.lit("\n"))
-    status = (
-        F.when((F.col("front") == "") | ~own | ~F.col("remark").rlike(made), F.lit("skipped"))
-        .when(F.col("text").isNull(), F.lit("failed"))
-        .when(new == F.col("note"), F.lit("unchanged"))
-        .otherwise(F.lit("updated"))
-    )
-    return d.withColumn("status", status).withColumn("new", F.when(F.col("status") == "updated", new).otherwise(F.col("note"))).select("path", "original", "status", "new")
+    d = notes.withColumn("note", F.replace("note", F.lit("\r\n"), F.lit("\n")))
+    d = d.select("path", "original", "note", F.struct(*[c.alias(n) for n, c in split_note(F.col("note")).items()]).alias("p"))
+    said = F.array_min(F.filter(F.array(*[F.instr("p.remark", f"{e} `") for e in EXTRACTED]), lambda at: at > 0))
+    names_it = F.array_contains(F.split("p.front", "\n"), F.concat(F.lit('source_file: "'), T.yaml_escaped(F.col("original")), F.lit('"')))
+    d = d.withColumn("kept", F.when(names_it, F.left("p.remark", said - 1)))  # null: not made from it
+    d = d.join(extracted.withColumnRenamed("remark", "new_remark"), key, "left")
+    front = F.when(F.col("pages").isNull(), F.col("p.front")).otherwise(with_field(F.col("p.front"), "pages", F.col("pages").cast("string")))
+    new = F.concat(front, "p.head", "kept", "new_remark", F.lit("\n\n"), "text", F.lit("\n"))
+    status = F.when(F.col("kept").isNull(), "skipped").when(new.isNull(), "failed").when(new == F.col("note"), "unchanged").otherwise("updated")
+    return d.select("path", "original", status.alias("status"), F.coalesce(F.when(F.col("kept").isNotNull(), new), "note").alias("new"))

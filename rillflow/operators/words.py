@@ -10,7 +10,9 @@ LIGATURES = ("ti", "tti", "ft", "tt", "fi", "fl", "ff", "ffi", "ffl", "tf", "th"
 LOST = "\ufffd"
 MAX_SLOTS = 3
 COMMON = 60  # the highest tier of a common word
-SUFFIX = r"(?i)^(.{4,}?)(ly|ful|ness|less)$"
+# What may be added to a common word of at least so many letters.
+SUFFIXES = ("ly", "ful", "ness", "less")
+LEAST_STEM = 4
 
 
 def lowest_tier(words: DataFrame) -> DataFrame:
@@ -57,8 +59,8 @@ def compounds(each: DataFrame, dictionary: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<one:string,two:string>>")
     split = lambda i: F.struct(F.substr(w, F.lit(1), i).alias("one"), F.substr(w, i + 1).alias("two"))
     splits = F.when(F.length(w) >= 6, F.transform(F.sequence(F.lit(3), F.length(w) - 3), split)).otherwise(none)
-    stem = F.regexp_extract(w, SUFFIX, 1)
-    derived = F.when(stem != "", F.array(F.struct(stem.alias("one"), F.lit(None).cast("string").alias("two")))).otherwise(none)
+    stem = F.coalesce(*[F.when(F.lower(w).endswith(e) & (F.length(w) >= LEAST_STEM + len(e)), F.left(w, F.length(w) - len(e))) for e in SUFFIXES])
+    derived = F.when(stem.isNotNull(), F.array(F.struct(stem.alias("one"), F.lit(None).cast("string").alias("two")))).otherwise(none)
     parts = each.select("damaged", "pos", "word", F.explode(F.concat(derived, splits)).alias("p")).select("damaged", "pos", "word", "p.*")
     seen = parts.select(F.col("one").alias("part")).union(parts.where("two is not null").select("two")).distinct()
     common = tier_of(seen, dictionary, "part").where(F.col("tier") <= COMMON).select("part")

@@ -185,11 +185,11 @@ def unfiled_page_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {PLANNED}, f AS (SELECT p_partkey, course_id, course_code, p_name || '.pdf' AS title, p_size, p_type FROM part JOIN courses ON course_id = p_size WHERE p_partkey % 6 <> 0 AND p_partkey % 10 <> 1 AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49))
+    f"""WITH {PLANNED}, free AS (SELECT p_partkey, course_id, course_code, p_name || '.pdf' AS title, p_type, row_number() OVER (PARTITION BY course_id, lower(p_name) ORDER BY p_partkey) AS nth FROM part JOIN courses ON course_id = p_size WHERE p_partkey % 6 <> 0 AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49) AND (p_size, lower(p_name)) NOT IN (SELECT (p_size, lower(p_name)) FROM part WHERE p_partkey % 10 = 1)), f AS (SELECT * FROM free WHERE nth = 1)
 SELECT p_partkey, 'Unfiled Files/' || title AS path, CASE WHEN p_partkey % 7 <> 0 THEN {_sql_note(_extra(("title", "title"), ("type", "'File'"), ("source_file", "title")), "title", f"'{notes.NOT_ATTACHED}' || 'Extracted text from `x`.'", "p_type")} END AS note FROM f"""
 )
 def unfiled_file_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that no module holds and that aren't there yet."""
+    """Files that no module holds and whose names their course has no file of yet, each name once."""
     p = table(spark, sf_dir, "part").withColumn("display_name", F.concat("p_name", F.lit(".pdf"))).withColumn("course_id", F.col("p_size").cast("long"))
     files = p.join(_courses(spark, sf_dir), "course_id").select("course_id", "course_code", F.col("p_partkey").alias("id"), "display_name", F.when(F.col("p_partkey") % 6 != 0, F.lit("u")).alias("url"), F.lit("Extracted text from `x`.").alias("remark"), F.when(F.col("p_partkey") % 7 != 0, F.col("p_type")).alias("extracted"))
     held = table(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey")).distinct().join(p, "p_partkey").select("course_id", F.col("p_partkey").alias("id"))

@@ -133,3 +133,36 @@ def test_tables_have_equal_width(spark):
     df = spark.createDataFrame([(r,) for r in rows], "r array<array<string>>").select(T.markdown_table(F.col("r")).alias("md"))
     for r in df.collect():
         assert len({line.replace("\\|", "").count("|") for line in r.md.split("\n")}) == 1
+
+
+@pytest.mark.parametrize(
+    "text, links, images",
+    [
+        ('a [b](u) c [d]( v "T" ) e', [("b", "u", None), ("d", "v", ' "T"')], []),
+        ("[![alt](i.png) Title](u) ![x](y)", [("![alt](i.png) Title", "u", None)], [("alt", "i.png", None), ("x", "y", None)]),
+        ("[a [b] c](u) [[d [e]](v)", [("a [b] c", "u", None), ("d [e]", "v", None)], []),
+        ("[a [b [c] d] e](u)", [], []),
+        ("[a [b](u) c](v) [d](w)", [("a [b](u) c", "v", None), ("d", "w", None)], []),
+        ("open [ and [x](u) ] shut ](no) [](e)", [("x", "u", None), ("", "e", None)], []),
+        (r"\[a](u) [b\](v)", [("a", "u", None), ("b\\", "v", None)], []),
+        ('[a](u "b) c") [d](u "e) [f](g) [h](u v) [i]()', [("a", "u", ' "b) c"'), ("f", "g", None)], []),
+        ('![a [b](u) ![c]d](e) ![f](g\n"t") [', [("b", "u", None)], [("a [b", "u", None), ("f", "g", '\n"t"')]),
+        ("[](", [], []),
+        ("", [], []),
+    ],
+)
+def test_scanner(spark, text, links, images):
+    df = spark.createDataFrame([(text,), (None,)], "t string")
+    for want, found in ((links, L.scanner()), (images, L.scanner(images=True))):
+        got, none = [r[0] for r in df.select(found(F.col("t"))).collect()]
+        assert none is None and [(h.label, h.url, h.title) for h in got.hits] == want
+        assert got.gaps[0] + "".join(h.whole + g for h, g in zip(got.hits, got.gaps[1:])) == text
+
+
+def test_scanner_is_linear():
+    import time
+
+    start = time.time()
+    for text in ("[" * 100_000, "[a](" * 50_000, "[a](u) " * 50_000, "![" * 50_000 + "](x)", "]" * 100_000, "![x]" * 50_000):
+        assert sum(1 for _ in L._links(text)) + sum(1 for _ in L._images(text)) >= 0
+    assert time.time() - start < 20
