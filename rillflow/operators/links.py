@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions import links as L
 from rillflow.functions import text as T
+from rillflow.operators.rounds import cut
 
 
 def extracted(df: DataFrame, id_col: str, text_col: str, pattern: str = L.ANCHOR, url_group: int = 1, label_group: int = 2) -> DataFrame:
@@ -76,3 +79,32 @@ def followed(start: DataFrame, edges: DataFrame, rounds: int = 3) -> DataFrame:
         frontier = new.join(done, "node", "left_anti").withColumn("round", F.lit(r))
         done = done.unionByName(frontier)
     return done
+
+
+def followed_pages(scraped: DataFrame, bodies: DataFrame, links: Callable[[Column], Column], rounds: int = 3) -> DataFrame:
+    """Pages that scraped content links to and no one planned, and those that these link to, round by round.
+
+    ``scraped`` and ``bodies``: ``key, body``; ``links``: body -> array of the keys it links to. A round's
+    batch are the keys linked from the bodies just reached that are neither scraped nor were tried
+    before; only their bodies are fetched (joined) and read, and each joins the index, so no later
+    round asks for it again, found or not. Returns ``key, round, linked_by`` (the least key that links
+    it in that round) and ``fetched`` (whether there is a body; of several the least counts).
+
+    Every round is written and its lineage cut, so its plan is as large as the first one's, and of
+    a body only its links are kept. Bodies without a key can only link; null links are left out.
+    """
+    front = cut(scraped.select("key", F.lit(0).alias("depth"), F.array_distinct(links(F.col("body"))).alias("links")))
+    tried = cut(front.select("key").where("key is not null").distinct())
+    out = None
+    for n in range(1, rounds + 1):
+        each = front.select(F.col("key").alias("by"), F.explode("links").alias("key")).where("key is not null")
+        batch = each.groupBy("key").agg(F.min("by").alias("linked_by")).join(tried, "key", "left_anti")
+        body = bodies.join(batch.select("key"), "key", "left_semi").groupBy("key").agg(F.min("body").alias("body"))
+        read = body.select("key", F.array_distinct(links(F.col("body"))).alias("links"), F.lit(True).alias("fetched"))
+        front = cut(batch.join(read, "key", "left").select("key", F.lit(n).alias("round"), "linked_by", F.coalesce("fetched", F.lit(False)).alias("fetched"), "links"))
+        if front.isEmpty() and out is not None:
+            break
+        tried = cut(tried.unionByName(front.select("key")))
+        reached = front.drop("links")
+        out = reached if out is None else out.unionByName(reached)
+    return out

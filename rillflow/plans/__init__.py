@@ -1,5 +1,5 @@
 """Queries over the given tables; importing this registers all of them."""
 
-from . import note_queries, queries
+from . import layout_queries, note_queries, queries
 
-__all__ = ["note_queries", "queries"]
+__all__ = ["layout_queries", "note_queries", "queries"]
