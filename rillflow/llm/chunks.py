@@ -15,19 +15,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bitmap, cut, in_bitmap, joined_by_few, pick, table
-from .words import _BASE, _TABLE, _powers, slices
+from .words import _BASE, _TABLE, slices
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 48  # bytes that decide whether a chunk ends after them
 BITS = 9  # a chunk ends at one in 2**BITS places
 LEAST, MOST = 128, 4096  # bytes of a chunk; the last one of a text may be shorter
 EDGE = 4  # words at each end of a coded piece that a join may encode again
-CACHED = 200_000  # words kept per worker; the cache starts anew when full
-_UNBASE = pow(_BASE, -1, 1 << 64)
+CACHED = 500_000  # words kept per worker (about 100 MB); the cache starts anew when full
+TOGETHER = 64  # documents that are assembled at a time
+_ROLL = [_BASE & 0xFFFFFFFF, pow(_BASE, -1, 1 << 32)]  # an odd number and its inverse modulo 2**32
+_BYTE = _TABLE.astype(np.uint32)
+_POWERS = [np.ones(0, dtype=np.uint32)] * 2
 _WORD = re.compile(r"[^ \n\t\r]+")
 _SPACE = " \n\t\r"
 
 
+def _powers(which: int, n: int) -> np.ndarray:
+    if len(_POWERS[which]) < n:
+        p = np.full(max(n, 1 << 16), _ROLL[which], dtype=np.uint32)
+        p[0] = 1
+        _POWERS[which] = np.cumprod(p, dtype=np.uint32)
+    return _POWERS[which][:n]
+
+
 def ends(raw: bytes) -> list[int]:
     """Where the chunks of a text end, as byte offsets; the last is the text's length.
 
@@ -38,10 +49,10 @@ def ends(raw: bytes) -> list[int]:
     if n <= LEAST:
         return [n] if n else []
     b = np.frombuffer(raw, dtype=np.uint8)
-    upto = np.cumsum(_TABLE[b] * _powers(_UNBASE, n), dtype=np.uint64)  # a window's hash is a difference of these, shifted back
+    upto = np.cumsum(_BYTE[b] * _powers(1, n), dtype=np.uint32)  # a window's hash is a difference of these, shifted back
     roll = upto[WINDOW:] - upto[:-WINDOW]
-    roll *= _powers(_BASE, n)[WINDOW:]
-    places = np.flatnonzero(roll >> np.uint64(64 - BITS) == 0) + WINDOW + 1
+    roll *= _powers(0, n)[WINDOW:]
+    places = np.flatnonzero(roll < np.uint32(1 << (32 - BITS))) + WINDOW + 1
     out, last = [], 0
     for p in [*places[places < n].tolist(), n]:
         while p - last > MOST:
@@ -70,8 +81,8 @@ def _known(bits: np.ndarray, digests: list[bytes]) -> np.ndarray:
     return in_bitmap(bits, np.frombuffer(b"".join(digests), dtype=">u8")[::2].astype(np.uint64)) if digests else np.zeros(0, dtype=bool)
 
 
-class Joiner(dict):
-    """word -> its ids (packed); codes chunks, joins coded pieces, encodes and decodes whole texts.
+class Joiner:
+    """Codes chunks, joins coded pieces, encodes and decodes whole texts; ``known`` has the (packed) ids of words.
 
     The tokenizer drops white space, so words between blanks are encoded for themselves, once a
     worker. Where two pieces meet, a word may have been cut: the words around the join are encoded
@@ -80,24 +91,36 @@ class Joiner(dict):
     """
 
     def __init__(self, model: str):
-        super().__init__()
+        self.known: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.t = tokenizers.Tokenizer.from_str(model)
         self.t.no_truncation()
         self.t.no_padding()
-        self.kind = np.dtype("<u2" if self.t.get_vocab_size() <= 1 << 16 else "<u4")
+        n = self.t.get_vocab_size()
+        self.kind = np.dtype("<u2" if n <= 1 << 16 else "<u4")
+        self.tokens = None if self.t.decoder else [self.t.id_to_token(i) or "" for i in range(n)]
 
     def raw(self, text: str) -> bytes:
         return np.array(self.t.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
-        out = self[word] = self.raw(word)
-        return out
+    def learn(self, words: set[str]) -> None:
+        """The ids of all ``words`` at once; those not known yet are given to the tokenizer as separate words of one text."""
+        if len(self.known) >= CACHED:
+            self.known.clear()
+        new = list(words.difference(self.known))
+        for at in range(0, len(new), 2000):
+            some = new[at : at + 2000]
+            e = self.t.encode(some, is_pretokenized=True, add_special_tokens=False)
+            if None in e.word_ids:  # a special token belongs to no word
+                self.known.update({w: self.raw(w) for w in some})
+                continue
+            of, ids, size = np.array(e.word_ids), np.array(e.ids, dtype=self.kind).tobytes(), self.kind.itemsize
+            ends = (np.searchsorted(of, np.arange(len(some) + 1)) * size).tolist()
+            self.known.update({w: ids[a:b] for w, a, b in zip(some, ends, ends[1:])})
 
     def ids(self, words: list[str]) -> bytes:
-        return b"".join([self[w] for w in words])
+        """The ids of words that have been learnt."""
+        return b"".join(map(self.known.__getitem__, words))
 
     def coded(self, text: str) -> tuple[str, bytes | None, str]:
         """(first words, ids of those between, last words); (text, None, "") where too few words stand between two joins."""
@@ -109,12 +132,12 @@ class Joiner(dict):
 
     def joined(self, left: str, between: str, right: str) -> bytes:
         """Ids of what stands around a join: last words of one piece, short texts, first words of the next; ends may be empty."""
-        before, after = left.split(), right.split()
+        before, after = _WORD.findall(left), _WORD.findall(right)
         for k in range(1, EDGE):
             inner = (" ".join(before[EDGE - 1 - k :]) + left[len(left.rstrip(" ")) :] if left else "") + between
             inner += right[: len(right) - len(right.lstrip(" "))] + " ".join(after[: k + 1]) if right else ""
             got = self.raw(inner)
-            if (not left or got.startswith(self[before[EDGE - 1 - k]])) and (not right or got.endswith(self[after[k]])):
+            if (not left or got.startswith(self.known[before[EDGE - 1 - k]])) and (not right or got.endswith(self.known[after[k]])):
                 return self.ids(before[: EDGE - 1 - k]) + got + self.ids(after[k + 1 :])
         raise ValueError("tokens reach over white space: chunks can't be joined for this tokenizer")
 
@@ -133,7 +156,9 @@ class Joiner(dict):
 
     def finished(self, packed: bytes) -> tuple[bytes, str]:
         ids = np.frombuffer(packed, dtype=self.kind)
-        return ids.astype("<u4").tobytes(), self.t.decode(ids.tolist(), skip_special_tokens=False)
+        if self.tokens is None:
+            return ids.astype("<u4").tobytes(), self.t.decode(ids.tolist(), skip_special_tokens=False)
+        return ids.astype("<u4").tobytes(), " ".join(map(self.tokens.__getitem__, ids.tolist()))  # without a decoder the library puts blanks between tokens
 
 
 _joiners: dict[str, Joiner] = {}
@@ -196,7 +221,9 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", p
     @F.arrow_udf("struct<lead:string,ids:binary,trail:string>")
     def code(chunk: pa.Array) -> pa.Array:
         j = _joiner(shipped.value)
-        lead, ids, trail = zip(*[j.coded(c.as_py()) for c in chunk]) if len(chunk) else ((), (), ())
+        texts = chunk.to_pylist()
+        j.learn({w for t in texts for w in _WORD.findall(t)})
+        lead, ids, trail = zip(*[j.coded(t) for t in texts]) if texts else ((), (), ())
         return pa.StructArray.from_arrays([pa.array(lead, pa.string()), pa.array(ids, pa.binary()), pa.array(trail, pa.string())], ["lead", "ids", "trail"])
 
     once = d.mapInArrow(repeated, "h binary, chunk string, n long").groupBy("h").agg(F.first("chunk").alias("chunk"), F.sum("n").alias("n"))
@@ -206,7 +233,9 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", p
         j = _joiner(shipped.value)
         for ids, texts in _texts(batches):
             keep = [i for i, t in enumerate(texts) if not _known(shared.value, chunked(t)[1]).any()]
-            done = [j.finished(j.ids(_WORD.findall(texts[i].decode()))) for i in keep]
+            words = [_WORD.findall(texts[i].decode()) for i in keep]
+            j.learn(set().union(*words))
+            done = [j.finished(j.ids(w)) for w in words]
             yield pa.record_batch([ids.take(pa.array(keep, pa.int64())), pa.array([x for x, _ in done], pa.binary()), pa.array([x for _, x in done], pa.string())], ["doc_id", "ids", "decoded"])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,10 +266,16 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", p
     def assemble(parts: pa.Array) -> pa.Array:
         j = _joiner(shipped.value)
         done = []
-        for p in parts:
-            at = {x["pos"]: x for x in p.as_py()}  # repeated rows have each place more than once
-            each = [at[i] for i in sorted(at)]
-            done.append(j.finished(j.assembled([j.coded(x["own"]) if x["own"] is not None else (x["coded"]["lead"], x["coded"]["ids"], x["coded"]["trail"]) for x in each])))
+        for first in range(0, len(parts), TOGETHER):
+            some = parts.slice(first, TOGETHER)
+            flat = some.flatten()
+            coded = flat.field("coded")
+            pos, own, lead, ids, trail = (a.to_pylist() for a in (flat.field("pos"), flat.field("own"), *[coded.field(n) for n in ("lead", "ids", "trail")]))
+            j.learn({w for texts in (own, lead, trail) for t in texts if t for w in _WORD.findall(t)})
+            ends = np.cumsum(some.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            for a, b in zip([0, *ends], ends):
+                at = {pos[i]: i for i in range(a, b)}  # repeated rows have each place more than once
+                done.append(j.finished(j.assembled([j.coded(own[i]) if own[i] is not None else (lead[i], ids[i], trail[i]) for i in map(at.get, sorted(at))])))
         return pa.StructArray.from_arrays([pa.array([x for x, _ in done], pa.binary()), pa.array([x for _, x in done], pa.string())], ["ids", "decoded"])
 
     kind = d.schema["doc_id"].dataType.simpleString()
