@@ -44,7 +44,7 @@ def snapped(df: DataFrame, group: Sequence[str], column: str, into: str = "snap"
         last = F.element_at(done, -1)["kept"]
         return F.concat(done, F.array(F.struct(x.alias("v"), F.when(F.size(done) == 0, x).when(x - last > tolerance, x).otherwise(last).alias("kept"))))
 
-    kept = runs.select(*group, F.explode(F.aggregate("vs", start, keep)).alias("k")).select(*group, F.col("k.v").alias("_v"), F.col("k.kept").alias(into))
+    kept = runs.select(*group, F.explode(F.aggregate("vs", start, keep)).alias("_k")).select(*group, F.col("_k.v").alias("_v"), F.col("_k.kept").alias(into))
     return df.withColumn("_v", v.cast("double")).join(kept, [*group, "_v"], "left").drop("_v")
 
 
@@ -119,8 +119,8 @@ def ruled_tables(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     c = cells.withColumn("cell", F.struct("page", "x0", "y0", "x1", "y1"))
 
     def runs(edge: str, one: str, two: str, low: str, high: str) -> DataFrame:
-        at = lambda side: c.select("page", F.col(side).alias("line"), F.col(low).alias("a"), F.col(high).alias("b"), "cell")
-        every = snapped(at(one).unionByName(at(two)), ["page"], "line", edge, tolerance)
+        every = c.select("page", F.explode(F.array(one, two)).alias("line"), F.col(low).alias("a"), F.col(high).alias("b"), "cell")
+        every = snapped(every, ["page"], "line", edge, tolerance)
         every = _runs(every.withColumn("b", F.col("b") - tolerance), ["page", edge], "a", "b", -1e-9, "run")  # at the tolerance they only touch
         return every.select(F.min("cell").over(Window.partitionBy("page", edge, "run")).alias("a"), F.col("cell").alias("b"))
 
@@ -129,3 +129,128 @@ def ruled_tables(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     box = tables.groupBy("root").agg(F.min("node.x0").alias("tx0"), F.max("node.x1").alias("tx1"), F.min("node.y0").alias("ty0"), F.max("node.y1").alias("ty1"), F.count("*").alias("n_cells"))
     joined = tables.join(box.where("n_cells > 1"), "root")
     return joined.select("node.page", "node.x0", "node.x1", "node.y0", "node.y1", "tx0", "tx1", "ty0", "ty1", "n_cells")
+
+
+def text_lines(items: DataFrame, group: Sequence[str], order: str = "ordinal") -> DataFrame:
+    """Positioned items of a page as lines: ``group``, ``nth`` (from 1), ``line``.
+
+    ``items``: ``str``, ``transform`` (six numbers: reading direction, up, origin) and ``width``. In the order
+    of the stream, an item goes on with the line if it points the same way, stands as high as the
+    line up to a share of the larger size, and doesn't step back by more than its size; a larger
+    item sets the line's height and size, so a superscript joins the text that it belongs to. Items
+    visibly apart get a blank between them. Empty lines are left out, null texts count as empty.
+    """
+    m = lambda i: F.coalesce(F.get("transform", F.lit(i)), F.lit(0.0))
+    length = lambda a, b: F.when(F.hypot(a, b) == 0, 1.0).otherwise(F.hypot(a, b))
+    read, size = length(m(0), m(1)), length(m(2), m(3))
+    ux, uy = m(2) / size, m(3) / size
+    along = (m(4) * m(0) + m(5) * m(1)) / read
+    item = F.struct(
+        F.col(order).alias("o"), F.coalesce("str", F.lit("")).alias("s"), ux.alias("ux"), uy.alias("uy"),
+        along.alias("along"), (along + F.coalesce("width", F.lit(0.0))).alias("end"), (m(4) * ux + m(5) * uy).alias("up"), size.alias("size"),
+    )
+    page = items.groupBy(*group).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    state = "struct<done:array<string>,text:string,ux:double,uy:double,up:double,size:double,along:double,end:double>"
+
+    def step(a: Column, i: Column) -> Column:
+        level = F.abs(a["up"] - i["up"]) <= F.greatest(i["size"], a["size"]) * SAME_LINE
+        goes_on = (F.abs(a["ux"] - i["ux"]) < 0.01) & (F.abs(a["uy"] - i["uy"]) < 0.01) & level & (i["along"] >= a["along"] - i["size"])
+        goes_on = F.coalesce(goes_on, F.lit(False))  # the first item of a page has no line yet
+        larger = ~goes_on | (i["size"] > a["size"])
+        apart = (i["along"] - a["end"] > i["size"] * APART) & ~a["text"].rlike(r"\s$") & ~i["s"].rlike(r"^\s")
+        text = F.when(goes_on, F.concat(a["text"], F.when(apart, F.lit(" ")).otherwise(F.lit("")), i["s"])).otherwise(i["s"])
+        return F.struct(
+            F.when(goes_on | a["text"].isNull(), a["done"]).otherwise(F.concat(a["done"], F.array(a["text"]))).alias("done"), text.alias("text"),
+            F.when(goes_on, a["ux"]).otherwise(i["ux"]).alias("ux"), F.when(goes_on, a["uy"]).otherwise(i["uy"]).alias("uy"),
+            F.when(larger, i["up"]).otherwise(a["up"]).alias("up"), F.when(larger, i["size"]).otherwise(a["size"]).alias("size"), i["along"].alias("along"), i["end"].alias("end"),
+        )
+
+    first = F.struct(F.array().cast("array<string>").alias("done"), *[F.lit(None).alias(n) for n in ("text", "ux", "uy", "up", "size", "along", "end")]).cast(state)
+    lines = F.aggregate("items", first, step, lambda a: F.concat(a["done"], F.array(a["text"])))
+    clean = F.filter(F.transform(lines, lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))), lambda x: x != "")
+    return page.select(*group, F.posexplode(clean).alias("i", "line")).select(*group, (F.col("i") + 1).alias("nth"), "line")
+
+
+def table_rows(cells: DataFrame, group: Sequence[str], order: str = "ordinal", tolerance: float = TOLERANCE) -> DataFrame:
+    """Cells of a table as a matrix of texts: ``group``, ``rows`` (array of arrays, all of one width).
+
+    ``cells``: ``page, x0, x1, y1, text``. Columns are the left edges among all edges merged within the
+    tolerance, rows the top edges of a page from above, pages in order; texts of one place are joined.
+    Of neighbouring columns those that no row fills both of are folded into one, from the left, each
+    next one against all that its column took so far: every column is the list of its filled rows,
+    and only these lists are compared. Empty rows go, and tables without any text.
+    """
+    one = F.struct("page", "y1", F.col(order).alias("o"), F.trim(F.coalesce("text", F.lit(""))).alias("text"))
+    # Both edges by one explode: a union of two projections of one partitioned frame keeps their partitioning
+    # in the plan (Spark 4.1), and under adaptive execution a distinct on top of it may then see a key twice.
+    edge = F.array(F.struct(F.col("x0").alias("x"), F.lit(True).alias("left")), F.struct(F.col("x1").alias("x"), F.lit(False).alias("left")))
+    x = snapped(cells.select(*group, one.alias("c"), F.explode(edge).alias("e")).select(*group, "c", "e.*"), group, "x", "column", tolerance)
+    last = x.groupBy(*group).agg(F.max("column").alias("last"), F.min("column").alias("least"))
+    held = x.where("left").select(*group, "column", "c.*").join(last, [*group]).where("column < last or least = last")
+    held = snapped(held, [*group, "page"], "y1", "top", tolerance).where("text <> ''")
+    slot = held.groupBy(*group, "page", "top", "column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "text"))), lambda t: t["text"]), " ").alias("text"))
+    slot = slot.withColumn("row", F.dense_rank().over(Window.partitionBy(*group).orderBy("page", F.desc("top"))))
+    filled = slot.groupBy(*group, "column").agg(F.array_sort(F.collect_list("row")).alias("filled"))
+    kind = "array<struct<columns:array<double>,filled:array<int>>>"
+
+    def fold(done: Column, c: Column) -> Column:
+        near = F.element_at(done, -1)
+        new = F.struct(F.array(c["column"]).alias("columns"), c["filled"].alias("filled"))
+        both = F.struct(F.concat(near["columns"], F.array(c["column"])).alias("columns"), F.concat(near["filled"], c["filled"]).alias("filled"))
+        free = (F.size(done) > 0) & ~F.arrays_overlap(near["filled"], c["filled"])
+        return F.when(free, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(both))).otherwise(F.concat(done, F.array(new)))
+
+    columns = filled.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("column", "filled"))).alias("cs"))
+    folded = columns.select(*group, F.aggregate("cs", F.array().cast(kind), fold).alias("f"))
+    place = folded.select(*group, F.size("f").alias("width"), F.posexplode("f").alias("at", "c")).select(*group, "width", "at", F.explode("c.columns").alias("column"))
+    rows = slot.join(place, [*group, "column"]).groupBy(*group, "row").agg(F.map_from_entries(F.collect_list(F.struct("at", "text"))).alias("m"), F.first("width").alias("width"))
+    dense = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit("")))
+    rows = rows.select(*group, F.struct("row", dense.alias("texts")).alias("r"))
+    return rows.groupBy(*group).agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["texts"]).alias("rows"))
+
+
+def rendered(rows: Column) -> Column:
+    """A table's rows as Markdown: a row like the first one is a header that was repeated, and goes.
+
+    What isn't two rows, or has no row with two texts, is a drawing: its texts are lines.
+    """
+    kept = F.filter(rows, lambda r, i: (i == 0) | (r != F.get(rows, F.lit(0))))
+    texts = lambda r: F.filter(r, lambda c: c != "")
+    drawing = (F.size(kept) < 2) | ~F.exists(kept, lambda r: F.size(texts(r)) > 1)
+    return F.when(drawing, F.array_join(texts(F.flatten(kept)), "\n")).otherwise(T.markdown_table(kept))
+
+
+def continued(tables: DataFrame, document: str = "doc", tolerance: float = TOLERANCE, furniture: int = FURNITURE) -> DataFrame:
+    """``tables`` with ``head_page, head_nth``: the table that each one goes on with, itself if none.
+
+    ``tables``: ``document, page, nth`` (in the page), ``before`` and ``after`` (lines of text before the page's
+    first and after its last table), ``xs`` (column edges). A page's first table goes on with the last
+    one of the page before if little text stands between, the outer edges agree and each of its
+    edges is one of those of the table that the chain began with; chains may run over any number of
+    pages. A page without tables ends them. A document's pages are folded in order, small structs each.
+    """
+    t = F.struct("nth", "before", "after", F.array_sort("xs").alias("xs"))
+    pages = tables.groupBy(document, "page").agg(F.min_by(t, "nth").alias("first"), F.max_by(t, "nth").alias("last"))
+    pages = pages.groupBy(document).agg(F.array_sort(F.collect_list(F.struct("page", "first", "last"))).alias("pages"))
+    near = lambda a, b: F.abs(a - b) <= tolerance
+
+    def step(a: Column, p: Column) -> Column:
+        end = F.element_at(a, -1)  # what the last page ends with: the head of its table and the lines after it
+        xs, own = p["first"]["xs"], end["xs"]
+        outer = near(F.element_at(xs, 1), F.element_at(own, 1)) & near(F.element_at(xs, -1), F.element_at(own, -1))
+        inner = F.forall(xs, lambda x: F.exists(own, lambda o: near(x, o)))
+        text = (end["after"] <= furniture) & (p["first"]["before"] <= furniture)
+        goes_on = F.coalesce((F.size(a) > 0) & (end["page"] == p["page"] - 1) & text & outer & inner, F.lit(False))
+        one = goes_on & (p["first"]["nth"] == p["last"]["nth"])
+        return F.concat(a, F.array(F.struct(
+            p["page"].alias("page"), p["last"]["after"].alias("after"), F.when(one, own).otherwise(p["last"]["xs"]).alias("xs"),
+            p["first"]["nth"].alias("nth"), F.when(goes_on, end["chain_page"]).otherwise(p["page"]).alias("head_page"), F.when(goes_on, end["chain_nth"]).otherwise(p["first"]["nth"]).alias("head_nth"),
+            F.when(one, end["chain_page"]).otherwise(p["page"]).alias("chain_page"), F.when(one, end["chain_nth"]).otherwise(p["last"]["nth"]).alias("chain_nth"),
+        )))
+
+    kinds = {n: tables.schema[n].dataType.simpleString() for n in ("page", "nth", "after", "xs")}
+    names = {"page": "page", "after": "after", "xs": "xs", "nth": "nth", "head_page": "page", "head_nth": "nth", "chain_page": "page", "chain_nth": "nth"}
+    start = F.array().cast(f"array<struct<{','.join(f'{n}:{kinds[k]}' for n, k in names.items())}>>")
+    heads = pages.select(document, F.explode(F.aggregate("pages", start, step)).alias("h")).select(document, "h.page", "h.nth", "h.head_page", "h.head_nth")
+    joined = tables.join(heads, [document, "page", "nth"], "left")
+    return joined.withColumns({"head_page": F.coalesce("head_page", "page"), "head_nth": F.coalesce("head_nth", "nth")})

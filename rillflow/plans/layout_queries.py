@@ -93,3 +93,68 @@ def snapped_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices of a supplier as coordinates: near ones merged within the tolerance, chains of them in steps."""
     s = layout.snapped(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_extendedprice", "kept")
     return s.groupBy("l_suppkey", "kept").agg(F.count("*").alias("n"), F.countDistinct("l_extendedprice").alias("n_values"), F.max("l_extendedprice").alias("last"))
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn, event_type AS s, 8.0 + event_id % 5 AS size, event_id, value FROM events),
+i AS (SELECT user_id, rn, CASE WHEN event_id % 9 = 0 THEN ' ' || s ELSE s END AS s, size, 700.0 - rn // 4 * 14 + rn % 3 * 2 AS up, rn % 4 * 60.0 + value AS along, rn % 4 * 60.0 + value + 5.0 * length(s) AS stop FROM e),
+l AS (SELECT user_id, rn, 1 AS line, s AS t, up, size, along, stop FROM i WHERE rn = 1 UNION ALL
+SELECT user_id, rn, line + CASE WHEN ok THEN 0 ELSE 1 END, CASE WHEN ok THEN t || CASE WHEN along - stop0 > size * 0.25 AND NOT regexp_matches(t, '\\s$') AND NOT regexp_matches(s, '^\\s') THEN ' ' ELSE '' END || s ELSE s END, CASE WHEN ok AND size <= size0 THEN up0 ELSE up END, CASE WHEN ok AND size <= size0 THEN size0 ELSE size END, along, stop
+FROM (SELECT i.*, l.line, l.t, l.up AS up0, l.size AS size0, l.stop AS stop0, abs(l.up - i.up) <= greatest(l.size, i.size) * 0.45 AND i.along >= l.along - i.size AS ok FROM l JOIN i ON i.user_id = l.user_id AND i.rn = l.rn + 1)),
+f AS (SELECT user_id, line, trim(regexp_replace(arg_max(t, rn), '\\s+', ' ', 'g')) AS t FROM l GROUP BY 1, 2)
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY line) AS INTEGER) AS nth, t AS line FROM f WHERE t <> ''""".replace("\\\\", "\\")
+)
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's events as text on a page, upright or turned: sizes vary, lines go up and down a little."""
+    e = table(spark, sf_dir, "events").withColumn("ordinal", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")))
+    rn, size = F.col("ordinal"), 8.0 + F.col("event_id") % 5
+    up, along = 700.0 - F.floor(rn / 4) * 14 + rn % 3 * 2, rn % 4 * 60.0 + F.col("value")
+    none = F.lit(0.0)
+    turned = F.when(F.col("user_id") % 10 == 0, F.array(none, F.lit(1.0), -size, none, -up, along)).otherwise(F.array(F.lit(1.0), none, none, size, along, up))
+    text = F.when(F.col("event_id") % 9 == 0, F.concat(F.lit(" "), "event_type")).otherwise(F.col("event_type"))
+    items = e.select("user_id", "ordinal", text.alias("str"), turned.alias("transform"), (5.0 * F.length("event_type")).alias("width"))
+    return layout.text_lines(items, ["user_id"])
+
+
+@query(
+    """WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem),
+c AS (SELECT l_orderkey, rn, 0 AS x, CAST(l_linenumber AS VARCHAR) AS t FROM r UNION ALL SELECT l_orderkey, rn, 100 + 40 * (l_partkey % 4), l_returnflag FROM r WHERE l_quantity > 3 UNION ALL SELECT l_orderkey, rn, 300 + 30 * (l_suppkey % 3), l_linestatus FROM r WHERE l_quantity > 25),
+k AS (SELECT l_orderkey, x, list(rn) AS f, row_number() OVER (PARTITION BY l_orderkey ORDER BY x) AS i FROM c GROUP BY 1, 2),
+g AS (SELECT l_orderkey, x, i, f, 0 AS col FROM k WHERE i = 1 UNION ALL SELECT k.l_orderkey, k.x, k.i, CASE WHEN list_has_any(g.f, k.f) THEN k.f ELSE list_concat(g.f, k.f) END, g.col + CASE WHEN list_has_any(g.f, k.f) THEN 1 ELSE 0 END FROM g JOIN k ON k.l_orderkey = g.l_orderkey AND k.i = g.i + 1),
+w AS (SELECT l_orderkey, max(col) AS m FROM g GROUP BY 1),
+d AS (SELECT l_orderkey, rn, list_transform(range(m + 1), lambda j: coalesce(list_filter(ts, lambda e: e.col = j)[1].t, '')) AS row FROM (SELECT c.l_orderkey, rn, list({'col': col, 't': t}) AS ts FROM c JOIN g ON g.l_orderkey = c.l_orderkey AND g.x = c.x GROUP BY 1, 2) JOIN w USING (l_orderkey)),
+h AS (SELECT l_orderkey, list(row ORDER BY rn) AS rows FROM d GROUP BY 1), u AS (SELECT l_orderkey, list_filter(rows, lambda x, j: j = 1 OR x <> rows[1]) AS rows FROM h),
+z AS (SELECT *, len(rows) < 2 OR len(list_filter(rows, lambda x: len(list_filter(x, lambda y: y <> '')) > 1)) = 0 AS drawing FROM u)
+SELECT l_orderkey, CASE WHEN drawing THEN array_to_string(list_filter(flatten(rows), lambda y: y <> ''), chr(10)) ELSE array_to_string(list_prepend('| ' || array_to_string(rows[1], ' | ') || ' |', list_prepend('|' || repeat(' --- |', len(rows[1])), list_transform(rows[2:], lambda x: '| ' || array_to_string(x, ' | ') || ' |'))), chr(10)) END AS md FROM z"""
+)
+def cell_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as tables on two pages whose columns are drawn in several places: cells, folded rows, Markdown."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    li = table(spark, sf_dir, "lineitem").withColumn("rn", F.row_number().over(w))
+    cell = lambda n, x, off, text: F.struct(F.lit(n).alias("ordinal"), x.cast("double").alias("x0"), (x + 30).cast("double").alias("x1"), (700.0 - F.col("rn") * 20 + off).alias("y1"), text.cast("string").alias("text"))
+    flag = cell(2, 100 + 40 * (F.col("l_partkey") % 4), F.col("l_suppkey") % 3, F.when(F.col("l_quantity") > 3, F.col("l_returnflag")))
+    status = cell(3, 300 + 30 * (F.col("l_suppkey") % 3), F.lit(0), F.when(F.col("l_quantity") > 25, F.col("l_linestatus")))
+    each = F.array(cell(1, 50 + F.col("l_partkey") % 2 * 2, F.lit(1), F.col("l_linenumber")), flag, status)
+    cells = li.select("l_orderkey", F.floor(F.col("l_linenumber") / 4).alias("page"), F.explode(each).alias("c")).select("l_orderkey", "page", "c.*")
+    return layout.table_rows(cells, ["l_orderkey"]).select("l_orderkey", layout.rendered(F.col("rows")).alias("md"))
+
+
+@query(
+    """WITH RECURSIVE o AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page FROM orders), p AS (SELECT *, o_orderkey % 7 AS before, o_orderkey // 7 % 5 AS after, o_orderkey % 5 = 0 AS two, [50.0 + o_orderkey % 3] || CASE WHEN o_orderkey % 3 > 0 THEN [150.0 + o_orderkey % 2] ELSE [] END || CASE WHEN o_orderkey % 9 = 4 THEN [225.0] ELSE [] END || [300.0 + o_orderkey % 4 // 3 * 4] AS xs FROM o),
+c AS (SELECT o_custkey, page, after, false AS goes, page AS hp, CAST(1 AS BIGINT) AS hn, CASE WHEN two THEN [10.0, 20.0] ELSE xs END AS own, page AS cp, CASE WHEN two THEN 2 ELSE 1 END AS cn, o_orderkey % 11 = 0 AS bare FROM p WHERE page = 1 UNION ALL
+SELECT o_custkey, page, after, ok, CASE WHEN ok THEN cp ELSE page END, CASE WHEN ok THEN cn ELSE 1 END, CASE WHEN two THEN [10.0, 20.0] WHEN ok THEN own ELSE xs END, CASE WHEN ok AND NOT two THEN cp ELSE page END, CASE WHEN two THEN 2 WHEN ok THEN cn ELSE 1 END, o_orderkey % 11 = 0
+FROM (SELECT p.*, c.own, c.cp, c.cn, NOT c.bare AND p.o_orderkey % 11 <> 0 AND c.after <= 3 AND p.before <= 3 AND abs(p.xs[1] - c.own[1]) <= 3 AND abs(p.xs[-1] - c.own[-1]) <= 3 AND len(list_filter(p.xs, lambda x: len(list_filter(c.own, lambda y: abs(x - y) <= 3)) = 0)) = 0 AS ok FROM c JOIN p ON p.o_custkey = c.o_custkey AND p.page = c.page + 1)),
+t AS (SELECT c.o_custkey, c.page, CAST(1 AS BIGINT) AS nth, hp AS head_page, CAST(hn AS BIGINT) AS head_nth FROM c WHERE NOT bare UNION ALL SELECT p.o_custkey, p.page, 2, p.page, 2 FROM p WHERE two AND o_orderkey % 11 <> 0)
+SELECT o_custkey, CAST(page AS INTEGER) AS page, CAST(nth AS INTEGER) AS nth, CAST(head_page AS INTEGER) AS head_page, CAST(head_nth AS INTEGER) AS head_nth FROM t"""
+)
+def continued_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer's orders as pages of a document, most with a table, some with two or none: which go on with which."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").withColumn("page", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))).where(k % 11 != 0)
+    at = lambda v: F.array(v.cast("double"))
+    none = F.array().cast("array<double>")
+    xs = F.concat(at(50 + k % 3), F.when(k % 3 > 0, at(150 + k % 2)).otherwise(none), F.when(k % 9 == 4, at(F.lit(225))).otherwise(none), at(300 + F.floor(k % 4 / 3) * 4))
+    one = lambda n, edges: F.struct(F.lit(n).alias("nth"), edges.alias("xs"))
+    each = F.when(k % 5 == 0, F.array(one(1, xs), one(2, F.array(F.lit(10.0), F.lit(20.0))))).otherwise(F.array(one(1, xs)))
+    t = o.select("o_custkey", "page", (k % 7).alias("before"), (F.floor(k / 7) % 5).alias("after"), F.explode(each).alias("t")).select("o_custkey", "page", "before", "after", "t.*")
+    return layout.continued(t, "o_custkey").select("o_custkey", "page", "nth", "head_page", "head_nth")
