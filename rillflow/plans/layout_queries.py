@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions import links as L
-from rillflow.operators import layout, links, rounds
+from rillflow.operators import layout, links, names, rounds
 
 from .queries import query, table
 
@@ -23,13 +23,20 @@ _ROUNDS = ", ".join(_ROUND.format(n=n, before=f"r{n - 1}" if n > 1 else "scraped
 
 @query(
     rf"""WITH p AS (SELECT page_id, url, list_transform(regexp_extract_all(html, '{HREF}', 1), lambda x: lower(x)) AS links, html FROM pages), k AS (SELECT *, links[1] AS key FROM p),
-scraped AS (SELECT * FROM k WHERE url LIKE 'http:%'), seen AS (SELECT DISTINCT key FROM scraped WHERE key IS NOT NULL), b AS (SELECT key, arg_min(links, html) AS links FROM k WHERE key IS NOT NULL GROUP BY key), {_ROUNDS}
-SELECT key, round, linked_by, fetched FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3)"""
+scraped AS (SELECT * FROM k WHERE url LIKE 'http:%'), seen AS (SELECT DISTINCT key FROM scraped WHERE key IS NOT NULL), b AS (SELECT key, arg_min(links, html) AS links FROM k WHERE key IS NOT NULL GROUP BY key), {_ROUNDS},
+r AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3)
+SELECT page_id, k.key, CASE WHEN url LIKE 'http:%' THEN 0 ELSE round END AS round, linked_by FROM k LEFT JOIN r ON r.key = k.key UNION ALL SELECT NULL, key, round, linked_by FROM r WHERE NOT fetched"""
 )
 def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages (known by the first address in their menu) that plainly served ones link to, and on from there in three rounds."""
-    p = table(spark, sf_dir, "pages").select("url", F.col("html").alias("body"), F.get(_hrefs(F.col("html")), F.lit(0)).alias("key"))
-    return links.followed_pages(p.where(F.col("url").startswith("http:")).select("key", "body"), p.select("key", "body"), _hrefs)
+    """Pages (known by the first address in their menu) that plainly served ones link to, and on from there in three rounds.
+
+    A row for each page, with the round that reached it (0: known before, null: none), and one for each address without a page.
+    """
+    p = table(spark, sf_dir, "pages").select("page_id", F.col("url").startswith("http:").alias("known"), F.col("html").alias("body"), F.get(_hrefs(F.col("html")), F.lit(0)).alias("key"))
+    reached = rounds.cut(links.followed_pages(p.where("known").select("key", "body"), p.select("key", "body"), _hrefs))
+    every = p.drop("body").join(reached, "key", "left").select("page_id", "key", F.when(F.col("known"), 0).otherwise(F.col("round")).alias("round"), "linked_by")
+    lost = reached.where("not fetched").select(F.lit(None).cast("long").alias("page_id"), "key", "round", "linked_by")
+    return every.unionByName(lost)
 
 
 @query(
@@ -158,3 +165,26 @@ def continued_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = F.when(k % 5 == 0, F.array(one(1, xs), one(2, F.array(F.lit(10.0), F.lit(20.0))))).otherwise(F.array(one(1, xs)))
     t = o.select("o_custkey", "page", (k % 7).alias("before"), (F.floor(k / 7) % 5).alias("after"), F.explode(each).alias("t")).select("o_custkey", "page", "before", "after", "t.*")
     return layout.continued(t, "o_custkey").select("o_custkey", "page", "nth", "head_page", "head_nth")
+
+
+@query(
+    r"""WITH p AS (SELECT p_partkey, p_brand AS folder, CASE WHEN p_partkey % 7 = 0 THEN upper(split_part(p_name, ' ', 1)) WHEN p_partkey % 11 = 0 THEN split_part(p_name, ' ', 1) || ' (2)' WHEN p_partkey % 13 = 0 THEN split_part(p_name, ' ', 1) || ' (3)' ELSE split_part(p_name, ' ', 1) END AS name FROM part), k AS (SELECT *, lower(name) AS k, row_number() OVER (PARTITION BY folder, lower(name) ORDER BY p_partkey) AS nth FROM p),
+t AS (SELECT folder, regexp_extract(k, '^(.*) \(([1-9][0-9]*)\)$', 1) AS k, list_sort(list_distinct(list(CAST(regexp_extract(k, ' \(([1-9][0-9]*)\)$', 1) AS BIGINT)))) AS taken FROM k WHERE nth = 1 AND regexp_matches(k, ' \([1-9][0-9]*\)$') GROUP BY 1, 2),
+n AS (SELECT p_partkey, k.folder, name, nth, list_reduce(list_prepend(nth, list_filter(coalesce(taken, []), lambda x: x > 1)), lambda a, x: CASE WHEN x <= a THEN a + 1 ELSE a END) AS free FROM k LEFT JOIN t ON t.folder = k.folder AND t.k = k.k)
+SELECT p_partkey, folder, CASE WHEN nth = 1 THEN name ELSE name || ' (' || free || ')' END AS unique_name FROM n"""
+)
+def unique_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as files of their brand's folder, names equal but for case and names that look like numbered ones among them."""
+    k, name = F.col("p_partkey"), F.split_part("p_name", F.lit(" "), F.lit(1))
+    said = F.when(k % 7 == 0, F.upper(name)).when(k % 11 == 0, F.concat(name, F.lit(" (2)"))).when(k % 13 == 0, F.concat(name, F.lit(" (3)"))).otherwise(name)
+    d = names.suffixed(table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("folder"), said.alias("name")), ["folder"], "name", k)
+    return d.select("p_partkey", "folder", "unique_name")
+
+
+@query(
+    "SELECT lower(p_name) AS name, count(DISTINCT p_brand || '/' || p_partkey % 40) AS paths, min(p_brand || '/' || p_partkey % 40) AS first_path FROM part GROUP BY 1 HAVING count(DISTINCT p_brand || '/' || p_partkey % 40) > 1"
+)
+def ambiguous_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of parts that stand in several places, so a link by the name alone may mean any of them."""
+    path = F.concat_ws("/", "p_brand", (F.col("p_partkey") % 40).cast("string"))
+    return names.ambiguous(table(spark, sf_dir, "part").select("p_name", path.alias("path")), "p_name", "path")
