@@ -83,6 +83,15 @@ def listed(courses: DataFrame, keep: Column, last: Column) -> DataFrame:
     return d.join(F.broadcast(before), "part").withColumn("place", F.col("before") + F.col("nth") + 1).drop("sort_key", "part", "nth", "before")
 
 
+def in_locale_order(courses: DataFrame, code: str, *last: Column) -> DataFrame:
+    """Courses with their ``place`` by code in the order of a dictionary (a missing code is empty), then by ``last``.
+
+    The order is that of Unicode's collation: letters first, then accents, then case, so ``e`` stands
+    before ``é`` and both before ``f``. Sorted by range, like ``listed``.
+    """
+    return listed(courses, F.lit(True), F.struct(F.collate(F.coalesce(code, F.lit("")), "UNICODE").alias("code"), *last))
+
+
 def last_by_key(rows: DataFrame, keys: Sequence[str | Column], at: Column, *values: Column) -> DataFrame:
     """One row per key with the values of the last row by ``at``."""
     last = F.max_by(F.struct(*values), at).alias("last")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions import links as L
-from rillflow.operators import layout, links, names, rounds
+from rillflow.operators import layout, links, names, plan, rounds, tree
 
 from .queries import query, table
 
@@ -188,3 +188,32 @@ def ambiguous_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of parts that stand in several places, so a link by the name alone may mean any of them."""
     path = F.concat_ws("/", "p_brand", (F.col("p_partkey") % 40).cast("string"))
     return names.ambiguous(table(spark, sf_dir, "part").select("p_name", path.alias("path")), "p_name", "path")
+
+
+_TREE = "p_brand || '/' || replace(p_type, ' ', '/') || '/' || p_name || '.md'"
+_UP = "list_transform(range(1, len(string_split({0}, '/')) + 1), lambda i: array_to_string(string_split({0}, '/')[:i], '/'))"
+
+
+@query(
+    f"""WITH p AS (SELECT p_partkey, lower({_TREE}) AS own, lower(p_brand || '/' || split_part(p_type, ' ', 1)) AS module FROM part), v AS (SELECT DISTINCT unnest({_UP.format('own')}) AS key FROM p WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)),
+bad AS (SELECT DISTINCT module AS key FROM p WHERE p_partkey % 211 = 5), holds AS (SELECT DISTINCT unnest({_UP.format('key')}) AS key FROM bad),
+u AS (SELECT p_partkey, own, unnest({_UP.format('own')}) AS key, unnest(range(1, len(string_split(own, '/')) + 1)) AS level FROM p),
+lost AS (SELECT p_partkey, own, coalesce(min(level) FILTER (level > 1 AND key NOT IN (SELECT key FROM v)), 0) AS lost FROM u GROUP BY 1, 2),
+g AS (SELECT u.p_partkey, bool_or(u.level = lost - 1 AND u.key IN (SELECT key FROM holds) OR u.level < lost AND u.key IN (SELECT key FROM bad)) AS guard, max(CASE WHEN u.level = lost THEN u.key END) AS root FROM u JOIN lost ON lost.p_partkey = u.p_partkey GROUP BY 1)
+SELECT p_partkey, CASE WHEN lost = 0 THEN 'kept' WHEN guard THEN 'guarded' ELSE 'orphan' END AS state, CASE WHEN lost > 0 AND NOT guard THEN root END AS root FROM lost JOIN g USING (p_partkey)"""
+)
+def swept_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as files in their brand's and type's folders, vouched for in capitals where they sold well, with some modules failed."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.col("p_brand"), F.lit("/"), F.replace("p_type", F.lit(" "), F.lit("/")), F.lit("/"), F.col("p_name"), F.lit(".md")).alias("path"), F.concat_ws("/", F.lower("p_brand"), F.split_part("p_type", F.lit(" "), F.lit(1))).alias("module"))
+    sold = table(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey")).distinct()
+    states = tree.swept(p.select("path"), p.join(sold, "p_partkey", "left_semi").select(F.upper("path").alias("path")), p.where("p_partkey % 211 = 5").select(F.col("module").alias("folder")))
+    return p.join(states.distinct(), "path").select("p_partkey", "state", "root")
+
+
+@query(
+    r"""SELECT doc_id, coalesce(regexp_extract(text, '^\S+'), '') AS code, CAST(row_number() OVER (ORDER BY coalesce(regexp_extract(text, '^\S+'), '') COLLATE en, doc_id) AS INTEGER) AS place FROM documents"""
+)
+def course_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by their first word in the order of a dictionary: accents and capitals decide after the letters."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.regexp_extract("text", r"^\S+", 0), F.lit("")).alias("code"))
+    return plan.in_locale_order(d, "code", F.col("doc_id")).select("doc_id", "code", F.col("place").cast("int").alias("place"))
