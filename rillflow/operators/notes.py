@@ -42,6 +42,24 @@ def written(fields: Sequence[tuple[str, Column]], heading: Column, *blocks: Colu
     return F.concat(T.frontmatter(fields), F.lit("# "), F.array_join(F.array_compact(F.array(heading, *blocks)), "\n\n"), F.lit("\n"))
 
 
+def finished(bodies: DataFrame, files: DataFrame, index: DataFrame | None, base_host: str, *, id_col: str = "note_id", body_col: str = "body", folder_col: str = "folder") -> DataFrame:
+    """HTML bodies as they stand in notes: Markdown, known images local, and links to known notes made wikilinks.
+
+    ``files``: ``file_id, name``; ``index``: ``key, basename, full_path``, or None where links stay as they are
+    (announcements and the like). Returns id, ``markdown``, ``localised``, ``rewritten``, ``unresolved``. A null
+    or blank body is an empty text.
+    """
+    from rillflow.operators import assets, links
+
+    md = bodies.select(F.col(id_col).alias("note_id"), F.col(folder_col).alias("folder"), html_to_markdown(F.col(body_col)).alias("markdown"))
+    local = assets.localised(md, files, base_host)
+    if index is None:
+        none = F.array().cast("array<string>")
+        return local.select(F.col("note_id").alias(id_col), "markdown", "localised", F.lit(0).cast("long").alias("rewritten"), none.alias("unresolved"))
+    done = links.rewritten(local.drop("localised").join(md.select("note_id", "folder"), "note_id"), index, base_host)
+    return done.join(local.select("note_id", "localised"), "note_id").select(F.col("note_id").alias(id_col), "markdown", "localised", "rewritten", "unresolved")
+
+
 def _or(md: Column, otherwise: str) -> Column:
     return F.when(md == "", F.lit(otherwise)).otherwise(md)
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions import links as L
-from rillflow.operators import layout, links, names, plan, rounds, tree
+from rillflow.functions import text as T
+from rillflow.operators import extract, layout, links, names, notes, plan, rounds, tree
 
 from .queries import query, table
 
@@ -217,3 +218,39 @@ def course_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by their first word in the order of a dictionary: accents and capitals decide after the letters."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.regexp_extract("text", r"^\S+", 0), F.lit("")).alias("code"))
     return plan.in_locale_order(d, "code", F.col("doc_id")).select("doc_id", "code", F.col("place").cast("int").alias("place"))
+
+
+@query(
+    """WITH f AS (SELECT DISTINCT conv_id % 50 AS id FROM conversations WHERE conv_id % 2 = 0), c AS (SELECT conv_id, turn, role, text, f.id AS got, conv_id % 50 AS want, turn % 3 = 2 AS lost FROM conversations LEFT JOIN f ON f.id = conv_id % 50)
+SELECT conv_id, turn, '## ' || role || chr(10) || chr(10) || 'See ' || CASE WHEN lost THEN '[this one](/courses/' || conv_id || '/pages/none-' || turn || ')' ELSE '[[' || printf('%02d', turn) || ' - ' || role || '|this one]]' END || ' and ![x](' || CASE WHEN got IS NULL THEN '/files/' || want ELSE 'assets/' || want || '.png' END || ')' AS markdown,
+CAST(CASE WHEN got IS NULL THEN 0 ELSE 1 END AS BIGINT) AS localised, CAST(CASE WHEN lost THEN 0 ELSE 1 END AS BIGINT) AS rewritten, CASE WHEN lost THEN 'page:' || conv_id || ':none-' || turn ELSE '' END AS unresolved FROM c"""
+)
+def finished_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTML bodies with a link and an image each, as they stand in notes."""
+    c = table(spark, sf_dir, "conversations")
+    s = lambda n: F.col(n).cast("string")
+    base = F.concat(T.pad2(F.col("turn")), F.lit(" - "), F.col("role"))
+    to = F.concat(F.when(F.col("turn") % 3 == 2, F.lit("none-")).otherwise(F.lit("Turn%2D")), s("turn"))
+    file = (F.col("conv_id") % 50).cast("string")
+    body = F.concat(F.lit("<h2>"), "role", F.lit('</h2><div style="display:none">no</div><p>See <a href="/courses/'), s("conv_id"), F.lit("/pages/"), to, F.lit('">this one</a> and <img src="/files/'), file, F.lit('" alt="x"></p><script>no()</script>'))
+    bodies = c.select(F.struct("conv_id", "turn").alias("note_id"), body.alias("body"), F.lit("/notes").alias("folder"))
+    index = c.select(F.concat_ws(":", F.lit("page"), s("conv_id"), F.concat(F.lit("turn-"), s("turn"))).alias("key"), base.alias("basename"), F.concat(F.lit("/notes/"), base, F.lit(".md")).alias("full_path"))
+    files = c.where("conv_id % 2 = 0").select(file.alias("file_id"), F.lit("A picture.PNG").alias("name"))
+    out = notes.finished(bodies, files, index, "lms.example")
+    return out.select("note_id.conv_id", "note_id.turn", "markdown", "localised", "rewritten", F.array_join("unresolved", ",").alias("unresolved"))
+
+
+@query(
+    r"""WITH d AS (SELECT doc_id, ['pdf', 'pptx', 'xlsx', 'docx', 'zip'][doc_id % 5 + 1] AS ext, text FROM documents), p AS (SELECT doc_id, ext, list_filter(string_split(text, '. '), lambda x: regexp_matches(x, '\S')) AS parts FROM d),
+c AS (SELECT doc_id, ext, CAST(len(parts) AS BIGINT) AS n, regexp_replace(regexp_replace(array_to_string(parts, chr(10) || chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS t FROM p)
+SELECT doc_id, CASE WHEN ok THEN md5(t) END AS text_md5, CASE WHEN ok THEN CASE ext WHEN 'pdf' THEN 'Extracted text from `' WHEN 'pptx' THEN 'Slide text extracted from `' WHEN 'xlsx' THEN 'Sheets from `' ELSE 'Text extracted from `' END || doc_id || '.' || upper(ext) || '` (' || n || CASE ext WHEN 'pdf' THEN ' pages). Figures/diagrams are in the original.' WHEN 'pptx' THEN ' slides). Images/layout are in the original.' WHEN 'xlsx' THEN ' sheet(s)) as tables.' ELSE ' paragraphs). Exact layout is in the original.' END END AS remark, CASE WHEN ok THEN n END AS n
+FROM (SELECT *, ext <> 'zip' AND n > 0 AS ok FROM c)"""
+)
+def extracted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as landed texts of files of four kinds, and of one without a converter; their sentences are the parts."""
+    d = table(spark, sf_dir, "documents")
+    at = F.col("doc_id") % 5
+    ext = F.element_at(F.array(*[F.lit(x) for x in ("PDF", "PPTX", "XLSX", "DOCX", "ZIP")]), (at + 1).cast("int"))
+    separator = F.element_at(F.array(*[F.lit(x) for x in ("\f", "\f", "\x1d", "\n\n", "|")]), (at + 1).cast("int"))
+    files = d.select(F.col("doc_id").alias("id"), F.concat(F.col("doc_id").cast("string"), F.lit("."), ext).alias("name"), F.replace("text", F.lit(". "), separator).alias("text"))
+    return extract.extracted(files).select(F.col("id").alias("doc_id"), F.md5(F.col("extracted").cast("binary")).alias("text_md5"), "remark", "n")

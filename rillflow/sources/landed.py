@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions import text as T
+from rillflow.operators.rounds import ranked
 
 # Schemas of the entities that responses hold; all fields may be missing.
 SCHEMAS = {
@@ -54,3 +55,49 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], MANIFEST)
+
+
+#: One landed answer of the service: what was asked for, and what came.
+ANSWER = "url STRING, status INT, content_type STRING, link STRING, body STRING"
+
+
+def answers(spark: SparkSession, path: str, *, many: bool = True) -> DataFrame:
+    """Landed answers (JSON files of ``ANSWER``) as ``url, next, state, detail, body``: a row for each, also for bad ones.
+
+    ``state``: ``ok``; ``failed`` for a status that isn't 2xx; ``not_json`` for another content type, or
+    none (a login page, as a rule); ``unparsed`` for a body that is no JSON; ``not_list`` where a list is
+    due (``many``) and something else came; ``unreadable`` for a file that is no answer. ``detail`` says
+    what was found, ``next`` is the address of the next page, and a body that isn't ok is null.
+    """
+    raw = spark.read.schema(f"{ANSWER}, _corrupt STRING").option("multiLine", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    raw = raw.select("*", F.col("_metadata.file_path").alias("file"))
+    body = T.guarded_json(F.col("body"))
+    parsed = F.try_parse_json(body)
+    kind = F.schema_of_variant(parsed)
+    state = (
+        F.when(F.col("_corrupt").isNotNull() | F.col("url").isNull(), "unreadable")
+        .when(F.coalesce(~F.col("status").between(200, 299), F.lit(True)), "failed")
+        .when(~F.coalesce("content_type", F.lit("")).contains("json"), "not_json")
+        .when(parsed.isNull(), "unparsed")
+        .when(F.lit(many) & ~kind.startswith("ARRAY"), "not_list")
+        .otherwise("ok")
+    )
+    detail = F.when(state == "failed", F.concat(F.lit("HTTP "), F.coalesce(F.col("status").cast("string"), F.lit("?")))).when(state == "not_json", F.coalesce("content_type", F.lit("no content type"))).when(state == "not_list", kind).when(state == "unreadable", F.col("file"))
+    d = raw.select("url", T.next_page(F.col("link")).alias("next"), state.alias("state"), detail.alias("detail"), body.alias("body"))
+    return d.withColumn("body", F.when(F.col("state") == "ok", F.col("body")))
+
+
+def in_list_order(landed: DataFrame, entity: str) -> DataFrame:
+    """Items of lists that came in pages, in the order of the pages' next links: ``list``, ``ended``, ``api_ordinal`` and the entity's fields.
+
+    ``landed``: what ``answers`` gives. Pages are put in order by list ranking over their next links
+    alone, however their files are named; ``list`` is the address of a list's last page that came, and
+    ``ended`` is ``complete``, or ``missing`` where a page it names did not come or was bad. Pages on a cycle
+    have no order: their items come with ``cycle`` and without an ordinal.
+    """
+    good = landed.where("state = 'ok'").groupBy("url").agg(F.min_by(F.struct("next", "body"), F.struct("next", "body")).alias("x")).select("url", "x.*")
+    order = ranked(good.select(F.col("url").alias("node"), "next"))
+    fields = SCHEMAS[entity].replace(" STRING", ":STRING").replace(" INT", ":INT").replace(" BIGINT", ":BIGINT")
+    items = good.join(order, F.col("url") == F.col("node")).select(F.col("last").alias("list"), F.col("state").alias("ended"), "ordinal", F.posexplode(F.from_json("body", f"array<struct<{fields}>>")).alias("pos", "x"))
+    place = F.row_number().over(Window.partitionBy("list", "ended").orderBy("ordinal", "pos")) - 1
+    return items.withColumn("api_ordinal", F.when(F.col("ended") != "cycle", place)).select("list", "ended", "api_ordinal", "x.*")
