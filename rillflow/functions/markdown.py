@@ -30,7 +30,7 @@ class _Converter(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, dict[str, str | None], list[str]]] = [("", {}, [])]
+        self.open: list[tuple[str, dict[str, str | int | None], list[str]]] = [("", {}, [])]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         a = dict(attrs)
@@ -78,7 +78,8 @@ class _Converter(HTMLParser):
             title = f' "{a["title"]}"' if a.get("title") else ""
             text = f"[{inner}]({a['href']}{title})"
         elif tag == "li":
-            n = sum(1 for _ in re.finditer(r"(?m)^\x01", "".join(self.open[-1][2]))) + 1
+            above = self.open[-1][1]
+            n = above["\x01"] = above.get("\x01", 0) + 1  # no attribute has such a name
             mark = f"{n}. " if self.open[-1][0] == "ol" else "- "
             text = "\x01" + mark + inner.replace("\n", "\n    ") + "\n"
         elif tag in ("ul", "ol"):

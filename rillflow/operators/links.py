@@ -70,14 +70,13 @@ def rewritten(notes: DataFrame, index: DataFrame, base_host: str, *, id_col: str
 def followed(start: DataFrame, edges: DataFrame, rounds: int = 3) -> DataFrame:
     """Nodes reached from ``start(node)`` over ``edges(src, dst)`` in at most ``rounds`` rounds, with the round.
 
-    Each round takes the frontier's targets that no earlier round had.
+    Each round takes the frontier's targets that no earlier round had; it is written, so none is planned twice.
     """
-    done = start.select("node", F.lit(0).alias("round")).distinct()
-    frontier = done
+    done = frontier = cut(start.select("node", F.lit(0).alias("round")).distinct())
     for r in range(1, rounds + 1):
-        new = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        frontier = new.join(done, "node", "left_anti").withColumn("round", F.lit(r))
-        done = done.unionByName(frontier)
+        new = frontier.select(F.col("node").alias("src")).join(edges, "src").select(F.col("dst").alias("node")).distinct()
+        frontier = cut(new.join(done, "node", "left_anti").select("node", F.lit(r).alias("round")))
+        done = cut(done.unionByName(frontier))
     return done
 
 
