@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, pick, table
+from .common import cut, joined_by_few, pick, table
 
 # The kinds of the base scan, their patterns and least lengths.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -67,7 +67,8 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", own
     Base kinds are found in each text alone. Every candidate value (base or opaque run) is
     hashed, and the corpus says how many distinct owners (``owner_col``) and repositories
     (``repo_cols`` together) hold it: at most ``max_owners`` owners and ``max_repos`` repositories
-    make it ``live``, more of either make it an ``example``. Opaque runs outside base spans become spans only when live; base spans always
+    make it ``live``, more of either make it an ``example`` (a repository counts once, also
+    if several owners share it). Opaque runs outside base spans become spans only when live; base spans always
     stay. Values travel as SHA-256 digests, pre-aggregated by (digest, owner, repository).
 
     Returns a row per input row: id, ``text_hash`` (xxhash64), ``base`` and ``found`` (arrays of start, kind, end, digest, in
@@ -89,16 +90,14 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", own
     d = cut(d.withColumn("all", F.concat("base", "opaque")))  # the texts are scanned once
     with_any = d.where(F.size("all") > 0)
     held = with_any.select("owner", "repo", F.explode(F.array_distinct(F.transform("all", lambda s: s["digest"]))).alias("digest"))
-    per_owner = held.groupBy("digest", "owner").agg(F.count_distinct("repo").alias("repos"))
-    freq = per_owner.groupBy("digest").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
-    freq = cut(freq)
+    held = held.groupBy("digest", "owner", "repo").agg(F.count("*").alias("rows"))
+    freq = cut(held.groupBy("digest").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"), F.sum("rows").alias("rows")))
     # Equal (id, spans) rows get equal answers, so one of each asks and all of them are answered.
     key = F.xxhash64("doc_id", "all")
     asked = with_any.select(key.alias("key"), "all").dropDuplicates(["key"]).select("key", F.explode("all").alias("s"))
     live = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
-    answered = (
-        asked.withColumn("digest", F.col("s.digest"))
-        .join(freq, "digest")
+    answered = (  # a value that a large share of rows hold is answered where they are
+        joined_by_few(asked.withColumn("digest", F.col("s.digest")), freq, "digest", "rows")
         .groupBy("key")
         .agg(
             F.array_sort(F.collect_list(F.when((F.col("s.kind") < 3) | live, F.col("s")))).alias("found"),
