@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.operators.rounds import cut
+
 # Letter pairs and triples that a font may draw as one glyph, and the sign of a lost one.
 LIGATURES = ("ti", "tti", "ft", "tt", "fi", "fl", "ff", "ffi", "ffl", "tf", "th")
 LOST = "\ufffd"
@@ -84,9 +86,13 @@ def marked_repairs(marked: DataFrame, dictionary: DataFrame, word: str = "word")
     return listed.unionByName(twice.unionByName(joined).withColumnRenamed("damaged", "word")).withColumnRenamed("word", word)
 
 
+def _may_lack_t(word: Column) -> Column:
+    return word.rlike("^[A-Za-z]{5,}$") & word.contains("t")
+
+
 def dropped_tt(plain: DataFrame, dictionary: DataFrame, word: str = "word") -> DataFrame:
     """Distinct unlisted words of more than four Latin letters -> ``word, fixed``: the most common word with a t doubled."""
-    may = plain.select(F.col(word).alias("word")).distinct().where(F.col("word").rlike("^[A-Za-z]{5,}$") & F.col("word").contains("t"))
+    may = plain.select(F.col(word).alias("word")).where(_may_lack_t(F.col("word"))).distinct()
     unknown = tier_of(may, dictionary).where("tier is null").select(F.col("word").alias("damaged"), F.posexplode(with_doubled_t(F.col("word"))).alias("pos", "word"))
     rated = tier_of(unknown, dictionary).where(F.col("tier") <= COMMON)
     return rated.groupBy("damaged").agg(F.min_by("word", F.struct("tier", "pos")).alias("fixed")).withColumnRenamed("damaged", word)
@@ -99,18 +105,22 @@ def repaired(texts: DataFrame, dictionary: DataFrame, id_col: str, text_col: str
     with the sign. Only such texts are split into words, and only distinct words are looked up.
     """
     letters = rf"[\p{{L}}{LOST}]+"
-    damaged = texts.where(F.col(text_col).contains(LOST)).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    parts = damaged.select("id", F.split("t", letters, -1).alias("gaps"), F.regexp_extract_all("t", F.lit(letters), F.lit(0)).alias("words"))
-    words = parts.select("id", F.posexplode("words").alias("pos", "word"))
-    hurt = words.where(F.col("word").contains(LOST) & F.col("word").rlike(r"\p{L}"))
-    fixes = marked_repairs(hurt, dictionary).unionByName(dropped_tt(words, dictionary))
-    sign = F.col("word").contains(LOST)
-    fixed = words.join(fixes, "word").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "fixed"))).alias("fixes"), F.count_if(sign).alias("marked"), F.count_if(~sign).alias("doubled"))
-    whole = parts.join(fixed, "id").withColumn("new", F.transform("words", lambda w, i: F.coalesce(F.element_at("fixes", i), w)))
-    text = F.array_join(F.concat(F.flatten(F.zip_with(F.slice("gaps", 1, F.size("new")), F.col("new"), lambda g, w: F.array(g, w))), F.array(F.element_at("gaps", -1))), "")
-    done = whole.select(F.col("id").alias(id_col), text.alias("fixed_text"), "marked", "doubled")
+    split = lambda c: F.regexp_extract_all(c, F.lit(letters), F.lit(0))
+    sign = lambda w: w.contains(LOST)
+    # Of each text only its distinct words that may change are shuffled, and then the text once.
+    hurt = texts.where(F.col(text_col).contains(LOST)).select(F.col(id_col).alias("id"), split(F.col(text_col)).alias("words"))
+    may = hurt.select("id", F.explode(F.array_distinct(F.filter("words", lambda w: (sign(w) & w.rlike(r"\p{L}")) | _may_lack_t(w)))).alias("word"))
+    fixes = cut(marked_repairs(may.where(sign(F.col("word"))), dictionary).unionByName(dropped_tt(may.where(~sign(F.col("word"))), dictionary)))
+    fixed = may.join(fixes, "word").groupBy(F.col("id").alias(id_col)).agg(F.map_from_entries(F.collect_set(F.struct("word", "fixed"))).alias("_fixes"))
+    d = texts.join(fixed, id_col, "left").withColumn("_words", F.when(F.col("_fixes").isNotNull(), split(F.col(text_col))))
+    new = F.transform("_words", lambda w: F.coalesce(F.try_element_at("_fixes", w), w))
+    gaps = F.split(text_col, letters, -1)
+    text = F.array_join(F.concat(F.flatten(F.zip_with(F.slice(gaps, 1, F.size("_words")), new, lambda g, w: F.array(g, w))), F.array(F.element_at(gaps, -1))), "")
+    count = lambda kind: F.coalesce(F.size(F.filter("_words", lambda w: F.map_contains_key(F.col("_fixes"), w) & kind(w))), F.lit(0)).cast("long")
+    touched = F.col("_fixes").isNotNull() & F.col(text_col).contains(LOST)
     none = F.lit(0).cast("long")
-    return texts.join(done, id_col, "left").withColumn(text_col, F.coalesce("fixed_text", text_col)).withColumn("marked", F.coalesce("marked", none)).withColumn("doubled", F.coalesce("doubled", none)).drop("fixed_text")
+    d = d.withColumns({"marked": F.when(touched, count(sign)).otherwise(none), "doubled": F.when(touched, count(lambda w: ~sign(w))).otherwise(none)})
+    return d.withColumn(text_col, F.when(touched, text).otherwise(F.col(text_col))).drop("_fixes", "_words")
 
 
 def first_cell(items: DataFrame, cells: DataFrame, page: str, snap: float) -> DataFrame:
