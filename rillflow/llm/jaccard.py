@@ -230,7 +230,7 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         ends = cut(ends.join(classes.select("cls", F.xxhash64("head").alias("hk")), "cls"))
         wanted = bitmap(ends, F.col("hk"))
         sets = d.select(F.xxhash64("doc_id").alias("hk"), "text").mapInArrow(_sets(size, wanted), "hk long, cls long, tokens binary").repartition("cls")  # one exchange for both ends
-        sets = sets.join(ends.withColumnRenamed("hk", "head"), "cls").where("hk = head").select("cls", "tokens")
+        sets = sets.join(ends.withColumnRenamed("hk", "head"), "cls").where("hk = head").select("cls", "tokens").dropDuplicates(["cls"])  # rows may repeat with their id
         one = pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")), "a")
         two = one.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
         return cut(two.where(_linked(num, den)(F.col("ta"), F.col("tb"))).select("a", "b").distinct())

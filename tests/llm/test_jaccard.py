@@ -66,3 +66,11 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 900), (700, 900)], "a long, b long")
     rows = {r.v: r.root for r in components(edges).collect()}
     assert len(rows) == 203 and {rows[i] for i in range(1, 201)} == {1} and {rows[i] for i in (500, 700, 900)} == {500}
+
+
+def test_rows_repeated_with_their_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(5, " ".join(words))] * 3000 + [(None, " ".join([*words[:-1], "end"]))] * 3000 + [(9, "else " * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.component_id) for r in jaccard_classes(df, size=3, num=9, den=10).select("doc_id", "component_id").collect())
+    assert got == Counter({(5, 5): 3000, (None, 5): 3000, (9, 9): 1})

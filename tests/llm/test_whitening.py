@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from rillflow.llm import spectra, whitening
-from tests.llm.helpers import SF
+from helpers import SF
 
 
 @settings(max_examples=40, deadline=None)
