@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import posixpath
 import uuid
@@ -54,7 +55,7 @@ class NoteWriter(DataSourceWriter):
         store, root = self._store()
         context = TaskContext.get()
         part, attempt = (context.partitionId(), context.taskAttemptId()) if context else (0, 0)
-        stage = f"{root}/.staging-{self.run}/{attempt}"
+        stage = f"{root}/.staging-{self.run}-{attempt}"  # no folder is shared, so no task can remove another's
         said, staged = [], {}
         try:
             for row in rows:
@@ -75,15 +76,14 @@ class NoteWriter(DataSourceWriter):
         finally:
             if store.get_file_info(stage).type != fs.FileType.NotFound:
                 store.delete_dir(stage)
-            above = posixpath.dirname(stage)  # a task that outlives the job's abort leaves no empty folder either
-            if store.get_file_info(above).type != fs.FileType.NotFound and not store.get_file_info(fs.FileSelector(above)):
-                store.delete_dir(above)
         return Written(len(staged))
 
     def _end(self, mark: str, files: int) -> None:
         store, root = self._store()
-        if store.get_file_info(f"{root}/.staging-{self.run}").type != fs.FileType.NotFound:
-            store.delete_dir(f"{root}/.staging-{self.run}")
+        for left in store.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+            if left.base_name.startswith(f".staging-{self.run}-"):  # of a worker that was killed
+                with contextlib.suppress(FileNotFoundError):  # its task may still be alive and clear it too
+                    store.delete_dir(left.path)
         self._put(store, f"{root}/{_MANIFEST}/run={self.run}/_{mark}", str(files).encode())
 
     def commit(self, messages: list[Written | None]) -> None:
