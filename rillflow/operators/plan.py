@@ -64,6 +64,22 @@ def planned(courses: DataFrame, modules: DataFrame, items: DataFrame, subfolder:
     return d.withColumn("key", F.concat(F.lower("type"), F.lit(":"), F.col("course_id").cast("string"), F.lit(":"), F.nullif(ident, F.lit(""))))
 
 
+def with_content(items: DataFrame, entities: DataFrame) -> DataFrame:
+    """Every item with the entity that it shows: pages by their slug, all others by their id; ``found`` tells whether there is one.
+
+    ``items``: ``course_id, type, page_url, content_id``; ``entities``: ``course_id, type, ref`` (a page's slug or
+    an id) and what they carry. Slugs are compared decoded and without case. Of several entities
+    with one reference the least counts, so no item is doubled; items without a reference find none.
+    """
+    page = F.col("type") == "Page"
+    own = F.when(page, decoded_slug(F.col("page_url"))).otherwise(F.col("content_id").cast("string"))
+    ref = F.when(page, decoded_slug(F.col("ref"))).otherwise(F.col("ref").cast("string"))
+    carried = [c for c in entities.columns if c not in ("course_id", "type", "ref")]
+    known = entities.withColumn("_ref", ref).where("_ref <> ''").groupBy("course_id", "type", "_ref").agg(F.min(F.struct(*carried)).alias("_x"))
+    d = items.withColumn("_ref", own).join(known, ["course_id", "type", "_ref"], "left")
+    return d.select(*items.columns, F.col("_x").isNotNull().alias("found"), *[F.col(f"_x.{c}").alias(c) for c in carried])
+
+
 def handler(kind: Column, url: Column, share_host: str = "sharepoint") -> Column:
     """The handler of an item: by type; external URLs by whether their host is a share; others unknown."""
     known = F.create_map(*[F.lit(x) for kv in HANDLERS.items() for x in kv])

@@ -254,3 +254,21 @@ def extracted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     separator = F.element_at(F.array(*[F.lit(x) for x in ("\f", "\f", "\x1d", "\n\n", "|")]), (at + 1).cast("int"))
     files = d.select(F.col("doc_id").alias("id"), F.concat(F.col("doc_id").cast("string"), F.lit("."), ext).alias("name"), F.replace("text", F.lit(". "), separator).alias("text"))
     return extract.extracted(files).select(F.col("id").alias("doc_id"), F.md5(F.col("extracted").cast("binary")).alias("text_md5"), "remark", "n")
+
+
+_KIND3 = "['Page', 'Quiz', 'File'][turn % 3 + 1]"
+
+
+@query(
+    f"""WITH i AS (SELECT conv_id, turn, {_KIND3} AS type, CASE WHEN turn % 3 > 0 THEN CASE WHEN turn % 4 > 0 THEN CAST(turn AS VARCHAR) END ELSE 'turn-' || turn END AS ref FROM conversations), e AS (SELECT conv_id, {_KIND3} AS type, CASE WHEN turn % 3 > 0 THEN CAST(turn AS VARCHAR) ELSE 'turn-' || turn END AS ref, min({{'role': role, 'body': md5(text)}}) AS x FROM conversations WHERE conv_id % 4 <> 0 GROUP BY 1, 2, 3)
+SELECT i.conv_id, turn, i.type, e.ref IS NOT NULL AS found, x.role AS role, x.body AS body FROM i LEFT JOIN e ON e.conv_id = i.conv_id AND e.type = i.type AND e.ref = i.ref"""
+)
+def items_with_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as items that name what they show by slug or id, and the bodies that were fetched for most of them."""
+    c = table(spark, sf_dir, "conversations")
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("Page", "Quiz", "File")]), (F.col("turn") % 3 + 1).cast("int"))
+    slug = lambda begin: F.concat(F.lit(begin), F.col("turn").cast("string"))
+    items = c.select("conv_id", "turn", F.col("conv_id").alias("course_id"), kind.alias("type"), slug("Turn%2D").alias("page_url"), F.when(F.col("turn") % 4 > 0, F.col("turn")).alias("content_id"))
+    ref = F.when(F.col("turn") % 3 == 0, slug("tURN-")).otherwise(F.col("turn").cast("string"))
+    entities = c.where("conv_id % 4 <> 0").select(F.col("conv_id").alias("course_id"), kind.alias("type"), ref.alias("ref"), "role", F.md5(F.col("text").cast("binary")).alias("body"))
+    return plan.with_content(items, entities).select("conv_id", "turn", "type", "found", "role", "body")
