@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import added, pick, table
+from .common import added, cut, pick, table
 
 # Groups of identity terms that are swapped; the first of each is its neutral stand-in.
 IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
@@ -30,6 +30,8 @@ IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
 WORDS = re.compile(r"\w+")
 THRESHOLD = 0.3
 MAX_PER_CLASS = 4000  # labelled rows of each class that the fit may see
+LEAST, CLEAR, MAX_FEATURES = 3, 3, 20_000  # a kept feature's rows, deviations between the labels' rates, and how many are kept
+BLOCK = 1000  # sampled rows that a step of the fit handles at a time
 CACHED = 200_000
 
 
@@ -75,8 +77,8 @@ def of_words(words: Iterable[str], known: Mapping[str, Sequence[tuple[int, int]]
     return seen | twice
 
 
-def packed(words: Iterable[str], known: Mapping[str, Sequence[tuple[int, int]]]) -> bytes:
-    return np.sort(np.fromiter(of_words(words, known), dtype=np.uint32)).tobytes()
+def featured(words: Iterable[str], known: Mapping[str, Sequence[tuple[int, int]]]) -> np.ndarray:
+    return np.sort(np.fromiter(of_words(words, known), dtype=np.uint32))
 
 
 @dataclass
@@ -106,81 +108,96 @@ def swaps(words: set[str], groups: Sequence[Sequence[str]]) -> list[set[str]]:
     return [{to.get(w, w) for w in words} for to in (first, after)]
 
 
-def mentioned(pack: bytes, term: str) -> np.ndarray:
-    """The features that a text with these packed features gains by a mention of ``term``."""
-    own = np.frombuffer(pack, np.uint32)
+def mentioned(own: np.ndarray, term: str) -> np.ndarray:
+    """The features that a text with these features gains by a mention of ``term``."""
     has = np.isin(np.array([one for one, _ in features(term)], np.uint32), own)
     gained = {two if h else one for (one, two), h in zip(features(term), has)} - {0}
     return np.setdiff1d(np.array(sorted(gained), np.uint32), own)
 
 
-def fit_words(rows: Sequence[tuple[Iterable[str], int]], groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, **how) -> Model:
-    """Fits a model to (distinct lower-case words, label) rows; see ``fit_packed``."""
-    known = _Features()
-    return fit_packed([(packed(w, known), [packed(x, known) for x in swaps(set(w), groups)], y) for w, y in rows], groups, **how)
+def example(words: Iterable[str], known: Mapping[str, Sequence[tuple[int, int]]], groups: Sequence[Sequence[str]]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """A text's features, and those that each of its counterfactuals loses and gains.
 
+    A text without identity terms gets a mention of one, chosen by its features.
+    """
+    words = set(words)
+    own = featured(words, known)
+    others = [featured(x, known) for x in swaps(words, groups)]
+    terms = sorted({t for g in groups for t in g})
+    if others or not terms:
+        return own, [(np.setdiff1d(own, x, assume_unique=True), np.setdiff1d(x, own, assume_unique=True)) for x in others]
+    return own, [(own[:0], mentioned(own, terms[zlib.crc32(own.tobytes()) % len(terms)]))]
 
-def fit_packed(rows: Sequence[tuple[bytes, Sequence[bytes], int]], groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, penalty: float = 5.0, l2: float = 3e-4, steps: int = 300, least: int = 3, max_features: int = 20_000) -> Model:
-    """Fits a model to (features, features of each counterfactual, label) rows.
 
-    Features in at least ``least`` rows whose rates differ between the labels by more than chance
-    are kept (the ``max_features`` clearest). The loss is the mean logistic loss, plus ``l2``, plus
-    ``penalty`` times the mean squared change of the logit when a row's identity terms are swapped
-    for others of their group, the neutral one included. A row without such terms gets one, chosen by
-    its features: a neutral mention shouldn't change its score either, whatever features it shares
-    with words of the corpus.
-    """
-    labels = np.array([y for *_, y in rows], dtype=float)
-    n_pos, n_neg = labels.sum(), len(labels) - labels.sum()
+def clearness(a, b, n_pos: int, n_neg: int, by=F):
+    """How clearly a feature's rates in ``a`` of the positive and ``b`` of the negative rows differ; of columns, or arrays by numpy."""
+    return by.abs(by.log((a + 0.5) / (n_pos + 1)) - by.log((b + 0.5) / (n_neg + 1))) / by.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+
+
+def of_terms(groups: Sequence[Sequence[str]]) -> list[int]:
+    return sorted({f for g in groups for t in g for f, _ in features(t)})
+
+
+def base_rate(n_pos: int, n_neg: int) -> Model:
+    """The model of rows of one label, or of none."""
+    rate = n_pos / (n_pos + n_neg) if n_pos + n_neg else 0.0
+    return Model(intercept=float(np.log((rate + 0.01) / (1.01 - rate))))
+
+
+def places(names: np.ndarray, have: np.ndarray) -> np.ndarray:
+    """Where the features that are among ``names`` stand there."""
+    return np.searchsorted(names, have[np.isin(have, names, assume_unique=True)]).astype(np.int32)
+
+
+def fit_words(rows: Sequence[tuple[Iterable[str], int]], groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, least: int = LEAST, max_features: int = MAX_FEATURES, **how) -> Model:
+    """Fits a model to (distinct lower-case words, label) rows at hand, as ``fit`` does to a table."""
+    known = _Features()
+    labels = np.array([y for _, y in rows], dtype=float)
+    n_pos, n_neg = int(labels.sum()), int(len(labels) - labels.sum())
     if not n_pos or not n_neg:
-        rate = float(labels.mean()) if len(labels) else 0.0
-        return Model(intercept=float(np.log((rate + 0.01) / (1.01 - rate))))
-
-    def counted(y: int) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(np.concatenate([np.frombuffer(r[0], np.uint32) for r in rows if r[2] == y]), return_counts=True)
-
-    (in_pos, k_pos), (in_neg, k_neg) = counted(1), counted(0)
-    ids = np.union1d(in_pos, in_neg)
-    a, b = np.zeros(len(ids)), np.zeros(len(ids))
-    a[np.searchsorted(ids, in_pos)], b[np.searchsorted(ids, in_neg)] = k_pos, k_neg
-    z = np.abs(np.log((a + 0.5) / (n_pos + 1)) - np.log((b + 0.5) / (n_neg + 1))) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    enough = a + b >= least
+        return base_rate(n_pos, n_neg)
+    examples = [example(w, known, groups) for w, _ in rows]
+    ids, at = np.unique(np.concatenate([own for own, _ in examples]), return_inverse=True)
+    a = np.bincount(at, np.repeat(labels, [len(own) for own, _ in examples]), len(ids))
+    b = np.bincount(at, minlength=len(ids)) - a
+    z, enough = clearness(a, b, n_pos, n_neg, np), a + b >= least
     clear = np.lexsort((ids, -z))
-    clear = clear[(enough & (z > 3))[clear]][:max_features]
-    own = np.array(sorted({f for g in groups for t in g for f, _ in features(t)}), dtype=np.uint32)
-    names = np.union1d(ids[clear], np.intersect1d(own, ids[enough]))
+    clear = clear[(enough & (z > CLEAR))[clear]][:max_features]
+    names = np.union1d(ids[clear], np.intersect1d(np.array(of_terms(groups), np.uint32), ids[enough]))
+    kept = [(places(names, own), [(places(names, x), places(names, y)) for x, y in pairs]) for own, pairs in examples]
+    return solved(names, labels, kept, **how)
 
-    def columns(packs: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        cols = [np.searchsorted(names, have[np.isin(have, names, assume_unique=True)]) for have in (np.frombuffer(p, np.uint32) for p in packs)]
-        return np.repeat(np.arange(len(packs)), [len(c) for c in cols]), np.concatenate(cols) if cols else np.zeros(0, np.int64)
 
-    row, col = columns([r[0] for r in rows])
-    origin = np.array([i for i, r in enumerate(rows) for _ in r[1]], dtype=np.int64)
-    p_row, p_col = columns([p for r in rows for p in r[1]])
-    terms = sorted({t for g in groups for t in g})
-    without = np.array([i for i, r in enumerate(rows) if not r[1] and terms], dtype=np.int64)
-    said = [mentioned(rows[i][0], terms[zlib.crc32(rows[i][0]) % len(terms)]) for i in without]
-    near = np.searchsorted(names, np.concatenate(said)) if said else np.zeros(0, np.int64)
-    held = near < len(names)
-    held[held] = names[near[held]] == np.concatenate(said)[held] if said else held[held]
-    of = np.repeat(np.arange(len(without)), [len(x) for x in said])
-    own_cols = np.isin(row, without)
-    back = np.zeros(len(rows), np.int64)
-    back[without] = np.arange(len(without))
-    p_row = np.concatenate([p_row, len(origin) + back[row[own_cols]], len(origin) + of[held]])
-    p_col = np.concatenate([p_col, col[own_cols], near[held]])
-    origin = np.concatenate([origin, without])
-    w, b = np.zeros(len(names)), 0.0
-    m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+def solved(names: np.ndarray, labels: np.ndarray, rows: Sequence[tuple[np.ndarray, Sequence[tuple[np.ndarray, np.ndarray]]]], penalty: float = 5.0, l2: float = 3e-4, steps: int = 300) -> Model:
+    """Fits a model to rows: the places in ``names`` of a text's features, of what each counterfactual loses and of what it gains.
+
+    The loss is the mean logistic loss, plus ``l2``, plus ``penalty`` times the mean squared change
+    of the logit when a row's identity terms are swapped for others of their group, the neutral one
+    included. A row without such terms gets one: a neutral mention shouldn't change its score either,
+    whatever features it shares with words of the corpus. A change is made by the features that
+    differ, so only these are held for a counterfactual.
+    """
+    size = len(names)
+
+    def flat(parts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.repeat(np.arange(len(parts), dtype=np.int32), [len(x) for x in parts]), np.concatenate([np.zeros(0, np.int32), *parts])
+
+    own = [(labels[at : at + BLOCK], *flat([r[0] for r in rows[at : at + BLOCK]])) for at in range(0, len(rows), BLOCK)]
+    pairs = [p for r in rows for p in r[1]]
+    (lost_by, lost), (gained_by, gained) = flat([p[0] for p in pairs]), flat([p[1] for p in pairs])
+    by, differs, sign = np.concatenate([lost_by, gained_by]), np.concatenate([lost, gained]), np.repeat([1.0, -1.0], [len(lost), len(gained)])
+    w, b = np.zeros(size), 0.0
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, steps + 1):
-        z = np.bincount(row, w[col], minlength=len(rows))
-        err = (1 / (1 + np.exp(-np.clip(z + b, -30, 30))) - labels) / len(rows)
-        grad = np.bincount(col, err[row], minlength=len(names)) + 2 * l2 * w
-        if len(origin):
-            change = (z[origin] - np.bincount(p_row, w[p_col], minlength=len(origin))) * (2 * penalty / len(origin))
-            pull = np.bincount(origin, change, minlength=len(rows))
-            grad += np.bincount(col, pull[row], minlength=len(names)) - np.bincount(p_col, change[p_row], minlength=len(names))
-        g = np.append(grad, err.sum())
+        g = np.append(2 * l2 * w, 0.0)
+        for y, row, col in own:
+            z = np.bincount(row, w[col], minlength=len(y))
+            err = (1 / (1 + np.exp(-np.clip(z + b, -30, 30))) - y) / len(rows)
+            g[:-1] += np.bincount(col, err[row], minlength=size)
+            g[-1] += err.sum()
+        if pairs:
+            change = np.bincount(by, sign * w[differs], minlength=len(pairs)) * (2 * penalty / len(pairs))
+            g[:-1] += np.bincount(differs, sign * change[by], minlength=size)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]
@@ -192,35 +209,62 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def featured_column(groups: Sequence[Sequence[str]]) -> Callable[[Column], Column]:
-    """A column function: whole text -> its features and those of its counterfactuals, packed."""
+_EXAMPLE = "struct<own:{0},pairs:array<struct<lost:{0},gained:{0}>>>"
+
+
+def _examples(rows: Iterable[tuple[np.ndarray, Sequence[tuple[np.ndarray, np.ndarray]]]], kind: pa.DataType, part: Callable[[np.ndarray], object]) -> pa.Array:
+    of = lambda p: {"lost": part(p[0]), "gained": part(p[1])}
+    return pa.array([{"own": part(own), "pairs": [of(p) for p in pairs]} for own, pairs in rows], pa.struct([("own", kind), ("pairs", pa.list_(pa.struct([("lost", kind), ("gained", kind)])))]))
 
-    @F.arrow_udf("struct<own:binary,swapped:array<binary>>")
-    def featured(text: pa.Array) -> pa.Array:
+
+def example_column(groups: Sequence[Sequence[str]]) -> Callable[[Column], Column]:
+    """A column function: whole text -> its ``example``, ids as signed 32-bit integers."""
+
+    @F.arrow_udf(_EXAMPLE.format("array<int>"))
+    def examples(text: pa.Array) -> pa.Array:
         known = _Features()
-        own, swapped = [], []
-        for t in text:
-            words = set(WORDS.findall((t.as_py() or "").lower()))
-            own.append(packed(words, known))
-            swapped.append([packed(x, known) for x in swaps(words, groups)])
-        return pa.StructArray.from_arrays([pa.array(own, pa.binary()), pa.array(swapped, pa.list_(pa.binary()))], ["own", "swapped"])
+        return _examples((example(WORDS.findall((t.as_py() or "").lower()), known, groups) for t in text), pa.list_(pa.int32()), lambda x: x.view(np.int32))
+
+    return examples
+
+
+def kept_column(names: np.ndarray) -> Callable[[Column], Column]:
+    """A column function: an example -> the places of its features in ``names``, packed; others are left out."""
+
+    @F.arrow_udf(_EXAMPLE.format("binary"))
+    def kept(examples: pa.Array) -> pa.Array:
+        ids = lambda x: np.array(x, np.int32).view(np.uint32)
+        return _examples(((ids(e["own"]), [(ids(p["lost"]), ids(p["gained"])) for p in e["pairs"]]) for e in (x.as_py() for x in examples)), pa.binary(), lambda x: places(names, x).tobytes())
 
-    return featured
+    return kept
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS, groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, **how) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS, groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, least: int = LEAST, max_features: int = MAX_FEATURES, **how) -> Model:
     """Fits on at most ``max_per_class`` labelled rows of each class, first by hash of the id.
 
     Rows that ``held_out`` names and null labels are left out; of several labels of one id the
-    largest counts. Only the packed features of the sampled rows reach the driver.
+    largest counts. Features in at least ``least`` of the sampled rows whose rates differ between the
+    labels by more than chance are kept (the ``max_features`` clearest), and those of identity terms.
+    Executors count and choose them; only the kept features of the sampled rows reach the driver.
     """
     known = pick(labels, doc_id="doc_id", y=label_col).where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("y") > 0).cast("int").alias("y"))
     order = F.xxhash64(F.lit(5), "doc_id")
     first = lambda y: known.where(F.col("y") == y).orderBy(order, "doc_id").limit(max_per_class)
     sample = F.broadcast(first(0).unionByName(first(1)))  # at most 2 * max_per_class rows of 12 bytes
-    rows = pick(docs, doc_id=id_col, text=text_col).join(sample, "doc_id").select("doc_id", "y", featured_column(groups)(F.col("text")).alias("f")).collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.f.own)))
-    return fit_packed([(bytes(r.f.own), [bytes(x) for x in r.f.swapped], r.y) for r in rows], groups, **how)
+    rows = cut(pick(docs, doc_id=id_col, text=text_col).join(sample, "doc_id").select("doc_id", "y", example_column(groups)(F.col("text")).alias("x")))
+    n_pos, n_all = rows.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count("*")).first()
+    if not 0 < n_pos < n_all:
+        return base_rate(n_pos, n_all - n_pos)
+    each = rows.select("y", F.explode("x.own").alias("f")).groupBy("f").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+    z, term = clearness(F.col("a"), F.col("b"), n_pos, n_all - n_pos), F.col("id").isin(of_terms(groups))
+    counted = each.select(F.col("f").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).alias("id"), (F.col("a") + F.col("b")).alias("n"), z.alias("z"))
+    counted = cut(counted.where((F.col("n") >= least) & ((F.col("z") > CLEAR) | term)))
+    clear = counted.where(F.col("z") > CLEAR).orderBy(F.desc("z"), "id").limit(max_features)
+    names = np.unique(np.array([r.id for r in clear.select("id").union(counted.where(term).select("id")).collect()], np.uint32))
+    got = rows.select("doc_id", "y", kept_column(names)(F.col("x")).alias("x")).collect()
+    got.sort(key=lambda r: (r.doc_id, bytes(r.x.own), [(bytes(p.lost), bytes(p.gained)) for p in r.x.pairs]))
+    at = lambda raw: np.frombuffer(raw, np.int32)
+    return solved(names, np.array([r.y for r in got], float), [(at(r.x.own), [(at(p.lost), at(p.gained)) for p in r.x.pairs]) for r in got], **how)
 
 
 _scorers: dict[str, Callable[[str | None], float]] = {}
