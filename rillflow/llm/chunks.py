@@ -22,7 +22,7 @@ WINDOW = 48  # bytes that decide whether a chunk ends after them
 BITS = 9  # a chunk ends at one in 2**BITS places
 LEAST, MOST = 128, 4096  # bytes of a chunk; the last one of a text may be shorter
 EDGE = 4  # words at each end of a coded piece that a join may encode again
-CACHED = 500_000  # words kept per worker (about 100 MB); the cache starts anew when full
+CACHED = 400_000  # words of a generation; a worker keeps two (about 160 MB), the older one goes when the younger is full
 TOGETHER = 64  # documents that are assembled at a time
 _ROLL = [_BASE & 0xFFFFFFFF, pow(_BASE, -1, 1 << 32)]  # an odd number and its inverse modulo 2**32
 _BYTE = _TABLE.astype(np.uint32)
@@ -92,6 +92,7 @@ class Joiner:
 
     def __init__(self, model: str):
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.t = tokenizers.Tokenizer.from_str(model)
         self.t.no_truncation()
@@ -104,10 +105,18 @@ class Joiner:
         return np.array(self.t.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def learn(self, words: set[str]) -> None:
-        """The ids of all ``words`` at once; those not known yet are given to the tokenizer as separate words of one text."""
+        """The ids of all ``words`` at once; those not known yet are given to the tokenizer as separate words of one text.
+
+        Words of the older generation that are met again join the younger, so frequent ones are encoded once a worker.
+        """
         if len(self.known) >= CACHED:
-            self.known.clear()
-        new = list(words.difference(self.known))
+            self.older, self.known = self.known, {}
+        new = []
+        for w in words.difference(self.known):
+            if w in self.older:
+                self.known[w] = self.older[w]
+            else:
+                new.append(w)
         for at in range(0, len(new), 2000):
             some = new[at : at + 2000]
             e = self.t.encode(some, is_pretokenized=True, add_special_tokens=False)

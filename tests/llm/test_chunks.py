@@ -65,6 +65,26 @@ def test_join_that_tokens_cross_is_refused():
         j.joined("a a a a", "", " b b b b")
 
 
+def test_words_met_again_are_encoded_once(monkeypatch, library):
+    monkeypatch.setattr(chunks, "CACHED", 40)
+    with open(public_tokenizers.path(chunks.VOCABULARY), encoding="utf-8") as f:
+        j = chunks.Joiner(f.read())
+    library_t, given = j.t, []
+
+    class Counted:
+        def encode(self, words, **how):
+            given.extend(words)
+            return library_t.encode(words, **how)
+
+    j.t = Counted()
+    often = {"often", "met", "words"}
+    for k in range(60):
+        some = often | {f"rare{k}x{i}" for i in range(10)}
+        j.learn(some)
+        assert all(np.frombuffer(j.known[w], j.kind).tolist() == library(w)[0] for w in some) and len(j.known) + len(j.older) <= 2 * (40 + 13)
+    assert all(given.count(w) == 1 for w in often) and len(given) == 603
+
+
 def test_whole_table(spark, library):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert got(chunks.encode(spark.read.parquet(f"{SF}/documents.parquet"))) == want(rows, library)
