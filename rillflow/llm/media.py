@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bitmap, cut, in_bitmap, joined_by_few, pick, table
+from .graph import components
 from .words import mix
 
 SIDE = 96
@@ -245,6 +246,11 @@ def find_copies(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
     nothing; null components count as 0; repeated rows ask once; ids are integers, null ones are
     ignored; an empty table gives an empty result; other columns are ignored.
     """
+    return _searched(vectors, id_col, vector_col, every)[1]
+
+
+def _searched(vectors: DataFrame, id_col: str, vector_col: str, every: int) -> tuple[DataFrame, DataFrame]:
+    """The ``classes`` of the ids, and what ``find_copies`` finds."""
     v = pick(vectors, id=id_col, embedding=vector_col).where("id is not null").withColumn("id", F.col("id").cast("long"))
     named = cut(classes(v, id_col="id").dropDuplicates(["id"]))
     reps = named.where("id = class_id").select("id")
@@ -254,9 +260,28 @@ def find_copies(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
     index = cut(originals.mapInArrow(_corners(False), _CORNER)).mapInArrow(_placed, f"place long, {_CORNER}")
     held = bitmap(index.mapInArrow(_mixed, "key long"), F.col("key"), 26)
     found = matches(asked.mapInArrow(_probes(held), f"place long, {_CORNER}"), index)
-    return found.join(named.select(F.col("id").alias("query_id"), "class_id"), "query_id").select("query_id", "match_id", "inliers", (F.col("match_id") == F.col("class_id")).alias("own"))
+    return named, found.join(named.select(F.col("id").alias("query_id"), "class_id"), "query_id").select("query_id", "match_id", "inliers", (F.col("match_id") == F.col("class_id")).alias("own"))
+
+
+def linked_images(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100) -> DataFrame:
+    """``id, class_id, n_links, own`` of every image, after the search of ``find_copies``.
+
+    A query links its image with every image that it matches; ``class_id`` is the smallest id that
+    links and equal vectors reach, ``n_links`` the number of queries that match the row's image and
+    ``own`` whether the row's own edited copy found it (null: the row wasn't asked). So a group of
+    near images costs a row each, not a row for each of its queries and images; ``find_copies`` has the pairs.
+    """
+    named, found = _searched(vectors, id_col, vector_col, every)
+    found = cut(found)
+    asked = named.select(F.col("id").alias("query_id"), F.col("class_id").alias("a"))
+    roots = components(found.join(asked, "query_id").select("a", F.col("match_id").alias("b"))).select(F.col("v").alias("class_id"), "root")
+    links = found.groupBy(F.col("match_id").alias("class_id")).agg(F.count("*").alias("n_links"))
+    images = cut(named.groupBy("class_id").agg(F.count("*").alias("n")).join(roots, "class_id", "left").join(links, "class_id", "left"))
+    each = joined_by_few(named, images, "class_id", "n").join(found.where("own").select(F.col("query_id").alias("id"), "own"), "id", "left")
+    own = F.when(F.col("id") % every == 0, F.coalesce("own", F.lit(False)))
+    return each.select("id", F.coalesce("root", "class_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), own.alias("own"))
 
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edited copies of the images of every hundredth of ``embeddings``, and the originals found among all."""
-    return find_copies(table(spark, sf_dir, "embeddings"))
+    """Every image of ``embeddings``: its class under the links that edited copies of every hundredth find among all, how many find it, and whether its own does."""
+    return linked_images(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")

@@ -1,6 +1,6 @@
 import numpy as np
 
-from rillflow.llm.media import described, edited, find_copies, rendered
+from rillflow.llm.media import described, edited, find_copies, linked_images, rendered
 
 SCHEMA = "vec_id long, embedding array<float>, VEC_IDS long"
 
@@ -54,3 +54,26 @@ def test_edges(spark):
     df = spark.createDataFrame(flat + rows(3), SCHEMA)
     assert find_copies(df.unionAll(df)).where("query_id > 0 and match_id < 100").count() == 0
     assert find_copies(df.limit(0)).count() == 0
+
+
+def test_a_group_of_near_images_costs_a_row_each(spark):
+    r = rows(60)
+    rng = np.random.default_rng(5)
+    for k in range(20, 40):  # near images, four queries among them
+        r[k] = (k, (np.array(r[20][1]) + rng.normal(0, 1e-3, 64)).astype(np.float32).tolist(), k)
+    r[50] = (50, r[45][1], 50)  # the same image as a query's
+    df = spark.createDataFrame(r, SCHEMA)
+    pairs = [(x.query_id, x.match_id, x.own) for x in find_copies(df, every=5).collect()]
+    assert len(pairs) >= 4 * 18
+    root = {k: k for k in range(60)} | {50: 45}
+    for _ in range(60):
+        for q, m, _own in pairs:
+            root[q] = root[m] = min(root[q], root[m])
+    root[50] = root[45]
+    got = {x.id: x for x in linked_images(df, every=5).collect()}
+    assert len(got) == 60 and all(got[k].class_id == root[k] for k in range(60))
+    assert all(got[k].n_links == sum(m == (45 if k == 50 else k) for _, m, _own in pairs) for k in range(60))
+    assert {k: x.own for k, x in got.items() if x.own is not None} == {k: any(o for q, _, o in pairs if q == k) for k in range(0, 60, 5)}
+    assert all(got[k].class_id == 20 for k in range(20, 40))
+    doubled = linked_images(df.unionAll(df), every=5).collect()
+    assert sorted(doubled) == sorted(got.values()) and linked_images(df.limit(0)).count() == 0
