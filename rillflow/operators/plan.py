@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions import text as T
 from rillflow.functions.links import decoded_slug
+from rillflow.operators.rounds import cut
 
 # Item types and the handlers they go to.
 HANDLERS = {
@@ -90,13 +91,15 @@ def handler(kind: Column, url: Column, share_host: str = "sharepoint") -> Column
 def listed(courses: DataFrame, keep: Column, last: Column) -> DataFrame:
     """Courses in the order of a listing, with their ``place``: kept ones first, then by ``last``.
 
-    Places come from one sort by range, not from one task that sees all rows.
+    Places come from one sort by range, not from one task that sees all rows. The sorted rows are written:
+    each use of a plan samples its own bounds of ranges, so counts and places must come from one sort.
     """
     d = courses.withColumn("sort_key", F.struct((~keep).alias("rest"), last.alias("last"))).repartitionByRange("sort_key").sortWithinPartitions("sort_key")
     d = d.withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    d = cut(d.drop("sort_key"))
     sizes = d.groupBy("part").agg(F.count("*").alias("n"))
     before = sizes.alias("a").join(sizes.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))  # a row per partition
-    return d.join(F.broadcast(before), "part").withColumn("place", F.col("before") + F.col("nth") + 1).drop("sort_key", "part", "nth", "before")
+    return d.join(F.broadcast(before), "part").withColumn("place", F.col("before") + F.col("nth") + 1).drop("part", "nth", "before")
 
 
 def in_locale_order(courses: DataFrame, code: str, *last: Column) -> DataFrame:
