@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions import text as T
-from rillflow.operators.rounds import components, cut
+from rillflow.operators import sheets
 
 # Points within which borders are one, cells beyond which a page is a drawing, lines of text
 # that a header or footer may have, and the share of a text's size that tells lines and words apart.
@@ -22,6 +23,9 @@ FURNITURE = 3
 SAME_LINE = 0.45
 APART = 0.25
 SQUARE = 128.0  # side of the grid squares in which borders meet
+BORDERS = "array<struct<across:double,low:double,high:double>>"
+CELLS = "array<struct<x0:double,x1:double,y0:double,y1:double>>"
+TABLES = "array<struct<x0:double,x1:double,y0:double,y1:double,tx0:double,tx1:double,ty0:double,ty1:double,n_cells:bigint>>"
 
 
 def snapped(df: DataFrame, group: Sequence[str], column: str, into: str = "snap", tolerance: float = TOLERANCE) -> DataFrame:
@@ -48,40 +52,34 @@ def snapped(df: DataFrame, group: Sequence[str], column: str, into: str = "snap"
     return df.withColumn("_v", v.cast("double")).join(kept, [*group, "_v"], "left").drop("_v")
 
 
-def _runs(df: DataFrame, group: Sequence[str], low: str, high: str, tolerance: float, into: str) -> DataFrame:
-    """Intervals numbered by runs: a new one begins beyond the tolerance after all before it have ended."""
-    w = Window.partitionBy(*group).orderBy(low, high)
-    reach = F.max(high).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    far = F.coalesce(F.col(low) > reach + tolerance, F.lit(True))
-    return df.withColumn("_far", far.cast("int")).withColumn(into, F.sum("_far").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_far")
-
-
 def merged_borders(borders: DataFrame, across: str, low: str, high: str, tolerance: float = TOLERANCE) -> DataFrame:
-    """Border segments of a ``page`` on (nearly) one line that touch or overlap, as one: ``page``, ``across``, ``low``, ``high``.
+    """Border segments of a ``page`` on (nearly) one line that touch or overlap, as one: ``page``, ``id`` (in the page), ``across``, ``low``, ``high``.
 
     A merged border lies where its least segment does. Segments apart along the line don't draw
-    each other to one place, however near the lines are.
+    each other to one place, however near the lines are. A page's borders are one array.
     """
-    b = borders.select("page", across, F.least(low, high).alias(low), F.greatest(low, high).alias(high)).dropna()
-    w = Window.partitionBy("page").orderBy(across)
-    b = b.withColumn("_far", F.coalesce(F.col(across) - F.lag(across).over(w) > tolerance, F.lit(True)).cast("int")).withColumn("band", F.sum("_far").over(w)).drop("_far")
-    b = snapped(_runs(b, ["page", "band"], low, high, tolerance, "strip"), ["page", "band", "strip"], across, tolerance=tolerance)
-    b = _runs(b, ["page", "band", "strip", "snap"], low, high, tolerance, "run")
-    return b.groupBy("page", "band", "strip", F.col("snap").alias(across), "run").agg(F.min(low).alias(low), F.max(high).alias(high)).drop("band", "strip", "run")
+
+    @F.arrow_udf(BORDERS)
+    def one(pages: pa.Array) -> pa.Array:
+        return sheets.merged(pages, tolerance)
+
+    b = borders.select("page", F.col(across).cast("double").alias("across"), F.least(low, high).cast("double").alias("low"), F.greatest(low, high).cast("double").alias("high")).dropna()
+    pages = b.groupBy("page").agg(F.collect_list(F.struct("across", "low", "high")).alias("borders"))
+    return pages.select("page", F.posexplode(one("borders")).alias("id", "b")).select("page", "id", F.col("b.across").alias(across), F.col("b.low").alias(low), F.col("b.high").alias(high))
 
 
 def crossings(h: DataFrame, v: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """``page, x, y`` of each crossing with ``h`` and ``v``, the merged borders (structs) that cross there.
+    """``page, x, y`` of each crossing with ``h`` and ``v``, the ``id`` of the merged borders that cross there.
 
     A range join by squares: a horizontal border lies in one row of squares and is listed in each of
     its columns, a vertical one the other way round, so every pair meets in one square only.
     """
     square = lambda c: F.floor(c / SQUARE)
     span = lambda a, b: F.explode(F.sequence(square(F.col(a) - tolerance), square(F.col(b) + tolerance)))
-    hs = h.select("page", "y", F.struct("y", "x0", "x1").alias("h"), square(F.col("y")).alias("gy"), span("x0", "x1").alias("gx"))
-    vs = v.select("page", "x", F.struct("x", "y0", "y1").alias("v"), square(F.col("x")).alias("gx"), span("y0", "y1").alias("gy"))
+    hs = h.select("page", "y", F.struct("id", "x0", "x1").alias("h"), square(F.col("y")).alias("gy"), span("x0", "x1").alias("gx"))
+    vs = v.select("page", "x", F.struct("id", "y0", "y1").alias("v"), square(F.col("x")).alias("gx"), span("y0", "y1").alias("gy"))
     near = lambda c, a, b: (F.col(c) >= F.col(a) - tolerance) & (F.col(c) <= F.col(b) + tolerance)
-    return hs.join(vs, ["page", "gx", "gy"]).where(near("x", "h.x0", "h.x1") & near("y", "v.y0", "v.y1")).select("page", "x", "y", "h", "v")
+    return hs.join(vs, ["page", "gx", "gy"]).where(near("x", "h.x0", "h.x1") & near("y", "v.y0", "v.y1")).select("page", "x", "y", F.col("h.id").alias("h"), F.col("v.id").alias("v"))
 
 
 def ruled_cells(h: DataFrame, v: DataFrame, tolerance: float = TOLERANCE, most: int = MOST_CELLS) -> DataFrame:
@@ -92,21 +90,14 @@ def ruled_cells(h: DataFrame, v: DataFrame, tolerance: float = TOLERANCE, most:
     crossing below and the nearest on its right are taken whose fourth corner lies on both their
     borders. A page with more than ``most`` of them is a drawing and has none.
     """
-    points = cut(crossings(merged_borders(h, "y", "x0", "x1", tolerance), merged_borders(v, "x", "y0", "y1", tolerance), tolerance))
-    on_h = points.groupBy("page", "h").agg(F.array_sort(F.collect_list(F.struct("x", "v"))).alias("along"))
-    on_v = points.groupBy("page", "v").agg(F.array_sort(F.collect_list("y")).alias("down"))
-    corner = points.join(on_h, ["page", "h"]).join(on_v, ["page", "v"])
-    below = F.explode(F.filter("down", lambda y: y < F.col("y") - tolerance))
-    corner = corner.select("page", "x", "y", "v", F.filter("along", lambda p: p["x"] > F.col("x") + tolerance).alias("right"), below.alias("low"))
-    # The border through the crossing below, and the borders that cross it.
-    base = points.select("page", "v", F.col("y").alias("low"), "h").join(on_h.withColumnRenamed("along", "base"), ["page", "h"]).drop("h")
-    met = corner.join(base, ["page", "v", "low"])
-    fit = F.filter("right", lambda r: F.exists("base", lambda b: (b["x"] == r["x"]) & (b["v"] == r["v"])))
-    closed = met.withColumn("x1", F.get(F.transform(fit, lambda r: r["x"]), F.lit(0))).where("x1 is not null")
-    cells = closed.groupBy("page", F.col("x").alias("x0"), F.col("y").alias("y1")).agg(F.max_by(F.struct("x1", "low"), "low").alias("c"))
-    cells = cells.select("page", "x0", "c.x1", F.col("c.low").alias("y0"), "y1")
-    few = cells.groupBy("page").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("page")
-    return cells.join(few, "page")
+    points = crossings(merged_borders(h, "y", "x0", "x1", tolerance), merged_borders(v, "x", "y0", "y1", tolerance), tolerance)
+    points = points.groupBy("page").agg(F.collect_list(F.struct("x", "y", "h", "v")).alias("points"))
+
+    @F.arrow_udf(CELLS)
+    def found(pages: pa.Array) -> pa.Array:
+        return sheets.cells(pages, tolerance, most)
+
+    return points.select("page", F.explode(found("points")).alias("c")).select("page", "c.x0", "c.x1", "c.y0", "c.y1")
 
 
 def ruled_tables(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
@@ -114,21 +105,16 @@ def ruled_tables(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
 
     Cells share a border where one ends where the other begins and they lie beside each other by
     more than the tolerance. Along each line, such cells are one run of overlapping intervals, so
-    each is linked to the run's first one only; tables are the components of these links.
+    each is linked to the run's first one only; tables are the components of these links. A page's
+    cells are one array.
     """
-    c = cells.withColumn("cell", F.struct("page", "x0", "y0", "x1", "y1"))
-
-    def runs(edge: str, one: str, two: str, low: str, high: str) -> DataFrame:
-        every = c.select("page", F.explode(F.array(one, two)).alias("line"), F.col(low).alias("a"), F.col(high).alias("b"), "cell")
-        every = snapped(every, ["page"], "line", edge, tolerance)
-        every = _runs(every.withColumn("b", F.col("b") - tolerance), ["page", edge], "a", "b", -1e-9, "run")  # at the tolerance they only touch
-        return every.select(F.min("cell").over(Window.partitionBy("page", edge, "run")).alias("a"), F.col("cell").alias("b"))
-
-    links = runs("ex", "x0", "x1", "y0", "y1").unionByName(runs("ey", "y0", "y1", "x0", "x1"))
-    tables = components(links)
-    box = tables.groupBy("root").agg(F.min("node.x0").alias("tx0"), F.max("node.x1").alias("tx1"), F.min("node.y0").alias("ty0"), F.max("node.y1").alias("ty1"), F.count("*").alias("n_cells"))
-    joined = tables.join(box.where("n_cells > 1"), "root")
-    return joined.select("node.page", "node.x0", "node.x1", "node.y0", "node.y1", "tx0", "tx1", "ty0", "ty1", "n_cells")
+    pages = cells.dropna(subset=["x0", "x1", "y0", "y1"]).groupBy("page").agg(F.collect_set(F.struct(*[F.col(c).cast("double").alias(c) for c in ("x0", "x1", "y0", "y1")])).alias("cells"))
+
+    @F.arrow_udf(TABLES)
+    def found(pages: pa.Array) -> pa.Array:
+        return sheets.tables(pages, tolerance)
+
+    return pages.select("page", F.explode(found("cells")).alias("c")).select("page", "c.*")
 
 
 def text_lines(items: DataFrame, group: Sequence[str], order: str = "ordinal") -> DataFrame:
