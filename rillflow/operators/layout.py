@@ -163,36 +163,18 @@ def table_rows(cells: DataFrame, group: Sequence[str], order: str = "ordinal", t
     ``cells``: ``page, x0, x1, y1, text``. Columns are the left edges among all edges merged within the
     tolerance, rows the top edges of a page from above, pages in order; texts of one place are joined.
     Of neighbouring columns those that no row fills both of are folded into one, from the left, each
-    next one against all that its column took so far: every column is the list of its filled rows,
-    and only these lists are compared. Empty rows go, and tables without any text.
+    next one against all that its column took so far. Empty rows go, and tables without any text.
+    A table's cells are one array, as its rows are one in the result, so nothing but cells is shuffled.
     """
-    one = F.struct("page", "y1", F.col(order).alias("o"), F.trim(F.coalesce("text", F.lit(""))).alias("text"))
-    # Both edges by one explode: a union of two projections of one partitioned frame keeps their partitioning
-    # in the plan (Spark 4.1), and under adaptive execution a distinct on top of it may then see a key twice.
-    edge = F.array(F.struct(F.col("x0").alias("x"), F.lit(True).alias("left")), F.struct(F.col("x1").alias("x"), F.lit(False).alias("left")))
-    x = snapped(cells.select(*group, one.alias("c"), F.explode(edge).alias("e")).select(*group, "c", "e.*"), group, "x", "column", tolerance)
-    last = x.groupBy(*group).agg(F.max("column").alias("last"), F.min("column").alias("least"))
-    held = x.where("left").select(*group, "column", "c.*").join(last, [*group]).where("column < last or least = last")
-    held = snapped(held, [*group, "page"], "y1", "top", tolerance).where("text <> ''")
-    slot = held.groupBy(*group, "page", "top", "column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "text"))), lambda t: t["text"]), " ").alias("text"))
-    slot = slot.withColumn("row", F.dense_rank().over(Window.partitionBy(*group).orderBy("page", F.desc("top"))))
-    filled = slot.groupBy(*group, "column").agg(F.array_sort(F.collect_list("row")).alias("filled"))
-    kind = "array<struct<columns:array<double>,filled:array<int>>>"
-
-    def fold(done: Column, c: Column) -> Column:
-        near = F.element_at(done, -1)
-        new = F.struct(F.array(c["column"]).alias("columns"), c["filled"].alias("filled"))
-        both = F.struct(F.concat(near["columns"], F.array(c["column"])).alias("columns"), F.concat(near["filled"], c["filled"]).alias("filled"))
-        free = (F.size(done) > 0) & ~F.arrays_overlap(near["filled"], c["filled"])
-        return F.when(free, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(both))).otherwise(F.concat(done, F.array(new)))
-
-    columns = filled.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("column", "filled"))).alias("cs"))
-    folded = columns.select(*group, F.aggregate("cs", F.array().cast(kind), fold).alias("f"))
-    place = folded.select(*group, F.size("f").alias("width"), F.posexplode("f").alias("at", "c")).select(*group, "width", "at", F.explode("c.columns").alias("column"))
-    rows = slot.join(place, [*group, "column"]).groupBy(*group, "row").agg(F.map_from_entries(F.collect_list(F.struct("at", "text"))).alias("m"), F.first("width").alias("width"))
-    dense = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit("")))
-    rows = rows.select(*group, F.struct("row", dense.alias("texts")).alias("r"))
-    return rows.groupBy(*group).agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["texts"]).alias("rows"))
+    number = lambda c: F.col(c).cast("double").alias(c)
+    cell = F.struct("page", F.col(order).alias("o"), F.trim(F.coalesce("text", F.lit(""))).alias("text"), number("x0"), number("x1"), number("y1"))
+
+    @F.arrow_udf("array<array<array<string>>>")
+    def found(tables: pa.Array) -> pa.Array:
+        return sheets.matrix(tables, tolerance)
+
+    tables = cells.dropna(subset=list(group)).groupBy(*group).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    return tables.select(*group, F.explode(found("cells")).alias("rows"))
 
 
 def rendered(rows: Column) -> Column:

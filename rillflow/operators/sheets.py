@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def flat(pages: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -170,3 +171,54 @@ def tables(pages: pa.Array, tolerance: float) -> pa.Array:
     kept = np.flatnonzero(count > 1)
     fields = {"x0": x0, "x1": x1, "y0": y0, "y1": y1} | box | {"n_cells": count.astype(np.int64)}
     return listed(len(pages), page[kept], {k: f[kept] for k, f in fields.items()})
+
+
+def matrix(tables: pa.Array, tolerance: float) -> pa.Array:
+    """Cells (``page, o, text, x0, x1, y1``, in this order) of each table -> a list of its matrix of texts, empty without any text.
+
+    The k-th columns of all tables are folded at once: a column goes on with its left neighbour unless
+    that one has, with all that it took so far, a text in one of its rows.
+    """
+    entries, n = tables.flatten(), len(tables)
+    table = np.repeat(np.arange(n), tables.value_lengths().to_numpy(zero_copy_only=False))
+    sheet, _, text, *at = entries.flatten()
+    x0, x1, y1 = (f.to_numpy(zero_copy_only=False).astype(float) for f in at)
+    sheet = sheet.dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+    sheet = np.cumsum((np.diff(table, prepend=-1) != 0) | (np.diff(sheet, prepend=-1) != 0))
+    has0, has1 = ~np.isnan(x0), ~np.isnan(x1)
+    of = np.concatenate([table[has0], table[has1]])
+    edge = snapped(of, np.concatenate([x0[has0], x1[has1]]), tolerance)
+    last, least = np.full(n, -np.inf), np.full(n, np.inf)
+    np.maximum.at(last, of, edge)
+    np.minimum.at(least, of, edge)
+    column = np.full(len(x0), np.nan)
+    column[has0] = edge[: has0.sum()]
+    held = np.flatnonzero(has0 & ((column < last[table]) | (least[table] == last[table])))
+    top = snapped(sheet[held], np.where(np.isnan(y1), -np.inf, y1)[held], tolerance)
+    said = pc.not_equal(text, "").to_numpy(zero_copy_only=False)[held]
+    held, top = held[said], top[said]
+    row = numbers(table[held], sheet[held], -top)
+    column = numbers(table[held], column[held])
+    # Texts of one place as one, in the cells' order.
+    order = np.lexsort((held, column, row))
+    new = np.flatnonzero((np.diff(row[order], prepend=-1) != 0) | (np.diff(column[order], prepend=-1) != 0))
+    text = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(new, len(order)), pa.int32()), text.take(pa.array(held[order]))), " ")
+    row, column, table = row[order[new]], column[order[new]], table[held[order[new]]]
+    first = np.full(n, len(column))
+    np.minimum.at(first, table, column)
+    nth = column - first[table]
+    fold, taken, place = np.zeros(n, np.int64), np.full(len(row), -1), np.zeros(len(row), np.int64)
+    by_nth = np.argsort(nth, kind="stable")
+    for k in np.split(by_nth, np.cumsum(np.bincount(nth))[:-1]) if len(nth) else []:
+        fold[np.unique(table[k][taken[row[k]] == fold[table[k]]])] += 1
+        place[k] = taken[row[k]] = fold[table[k]]
+    rows = np.zeros(row.max(initial=-1) + 1, np.int64)
+    rows[row] = table
+    ends = np.concatenate([[0], np.cumsum(fold[rows] + 1)])
+    filled = np.full(ends[-1], -1)
+    filled[ends[row] + place] = np.arange(len(row))
+    texts = pc.fill_null(text.take(pa.array(filled, mask=filled < 0)), "")
+    height = np.bincount(rows, minlength=n)
+    lists = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+    matrices = lists(np.concatenate([[0], np.cumsum(height[height > 0])]), lists(ends, texts))
+    return lists(np.concatenate([[0], np.cumsum(height > 0)]), matrices)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from rillflow.operators import layout, sheets
 
@@ -59,3 +60,52 @@ def test_snapped_and_runs_like_the_rules():
         run[i] = n
     got = sheets.runs(group, v, high, 1.0)
     assert len({(run[i], got[i]) for i in range(300)}) == len(set(run.values())) == len(set(got.tolist()))
+
+
+def snap(values):
+    out, last = {}, None
+    for x in sorted(set(values)):
+        last = x if last is None or x - last > 3 else last
+        out[x] = last
+    return out
+
+
+def folded(cells):
+    """Rows of ``(page, x0, x1, y1, text, ordinal)`` by the rules of ``table_rows``, a cell at a time."""
+    xs = snap([c[1] for c in cells] + [c[2] for c in cells])
+    held = [c for c in cells if xs[c[1]] < max(xs.values()) or len(set(xs.values())) == 1]
+    tops = {p: snap([c[3] for c in held if c[0] == p]) for p in {c[0] for c in held}}
+    slots = {}
+    for c in sorted(held, key=lambda c: c[5]):
+        if c[4].strip():
+            slots.setdefault((c[0], -tops[c[0]][c[3]]), {}).setdefault(xs[c[1]], []).append(c[4].strip())
+    rows = [slots[k] for k in sorted(slots)]
+    columns = []
+    for x in sorted({x for r in rows for x in r}):
+        if columns and not any(x in r and any(o in r for o in columns[-1]) for r in rows):
+            columns[-1].append(x)
+        else:
+            columns.append([x])
+    return [[next((" ".join(r[x]) for x in c if x in r), "") for c in columns] for r in rows]
+
+
+def test_matrices_by_one_exchange(spark):
+    rng = random.Random(11)
+    tables = {}
+    for t in range(60):
+        n = rng.randrange(1, 40)
+        cells = [(rng.randrange(3), float(rng.randrange(0, 60)), 0.0, float(rng.randrange(0, 25)), rng.choice(["", " ", "a", " b ", "c d"]), i) for i in range(n)]
+        tables[t] = [(c[0], c[1], c[1] + rng.randrange(1, 30), *c[3:]) for c in cells]
+    df = spark.createDataFrame([(t, *c) for t, cells in tables.items() for c in cells], "t int, page int, x0 double, x1 double, y1 double, text string, ordinal int").repartition(5)
+    out = layout.table_rows(df.unionByName(df.limit(1).withColumn("t", F.lit(None).cast("int"))), ["t"])
+    plan = layout.table_rows(df, ["t"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Join" not in plan
+    want = {t: folded(cells) for t, cells in tables.items()}
+    assert {r.t: r.rows for r in out.collect()} == {t: rows for t, rows in want.items() if rows}
+
+
+def test_matrix_of_null_edges(spark):
+    rows = [("a", None, 40.0, 9.0, "x"), ("a", 0.0, 40.0, None, "below"), ("a", 0.0, 40.0, 9.0, "above"), ("a", 20.0, None, 9.0, "y"), ("none", None, None, 1.0, "z")]
+    df = spark.createDataFrame([(t, 1, *c, i) for i, (t, *c) in enumerate(rows)], "t string, page int, x0 double, x1 double, y1 double, text string, ordinal int")
+    assert [(r.t, r.rows) for r in layout.table_rows(df, ["t"]).collect()] == [("a", [["above", "y"], ["below", ""]])]
+    assert layout.table_rows(df.limit(0), ["t"]).count() == 0
