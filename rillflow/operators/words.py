@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +26,13 @@ def lowest_tier(words: DataFrame) -> DataFrame:
 
 
 def tier_of(words: DataFrame, dictionary: DataFrame, word: str = "word") -> DataFrame:
-    """Adds ``tier``: of the lower-case word, else of it without a final s, else null."""
-    lower = F.lower(F.col(word))
-    one = dictionary.select(F.col("word").alias("w1"), F.col("tier").alias("t1"))
-    two = dictionary.select(F.col("word").alias("w2"), F.col("tier").alias("t2"))
-    singular = F.when(lower.endswith("s"), F.expr(f"left(lower({word}), length({word}) - 1)"))
-    return words.join(one, lower == F.col("w1"), "left").join(two, singular == F.col("w2"), "left").withColumn("tier", F.coalesce("t1", "t2")).drop("w1", "t1", "w2", "t2")
+    """Adds ``tier``: of the lower-case word, else of it without a final s, else null.
+
+    The dictionary's words are listed with and without a final s instead, so the words are joined once.
+    """
+    form = F.explode(F.array(F.struct(F.col("word").alias("form"), F.lit(1).alias("nth")), F.struct(F.concat("word", F.lit("s")).alias("form"), F.lit(2).alias("nth")))).alias("f")
+    forms = dictionary.select("tier", form).groupBy("f.form").agg(F.min_by("tier", F.struct("f.nth", "tier")).alias("tier"))
+    return words.join(forms, F.lower(F.col(word)) == F.col("form"), "left").drop("form")
 
 
 def candidates(word: Column) -> Column:
@@ -77,7 +81,8 @@ def marked_repairs(marked: DataFrame, dictionary: DataFrame, word: str = "word")
     The listed candidate of lowest tier; else that of the candidates with one t doubled; else the
     first candidate that is a compound. Each step sees only the words that the steps before it left.
     """
-    damaged = marked.select(F.col(word).alias("word")).distinct()
+    # A word becomes up to 1,331 candidates, so even few words are dealt to many tasks.
+    damaged = marked.select(F.col(word).alias("word")).distinct().repartition(4 * marked.sparkSession.sparkContext.defaultParallelism, "word")
     listed = best_candidates(damaged, dictionary)
     each = damaged.join(listed, "word", "left_anti").select(F.col("word").alias("damaged"), F.posexplode(candidates(F.col("word"))).alias("pos", "word"))
     doubled = each.select("damaged", "pos", F.posexplode(with_doubled_t(F.col("word"))).alias("nth", "word"))
@@ -98,6 +103,30 @@ def dropped_tt(plain: DataFrame, dictionary: DataFrame, word: str = "word") -> D
     return rated.groupBy("damaged").agg(F.min_by("word", F.struct("tier", "pos")).alias("fixed")).withColumnRenamed("damaged", word)
 
 
+def rewritten(words: pa.Array, gaps: pa.Array, fixes: pa.Array) -> pa.Array:
+    """Texts put together again from their words and the gaps around them, null where there are none.
+
+    A word has one answer in all texts, so those of a batch are looked up at once.
+    """
+    n = len(words)
+    length = lambda x: pc.fill_null(x.value_lengths(), 0).to_numpy(zero_copy_only=False)
+    word, gap, (damaged, answer) = words.flatten(), gaps.flatten(), fixes.flatten().flatten()
+    codes = damaged.dictionary_encode()
+    at = pc.index_in(word, value_set=codes.dictionary)
+    new = pc.coalesce(answer.take(pa.array(np.unique(codes.indices, return_index=True)[1])).take(at), word)
+    hit, sign = at.is_valid().to_numpy(zero_copy_only=False), pc.match_substring(word, LOST).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(length(words) + length(gaps))])
+    piece = np.empty(ends[-1], np.int64)  # gap, word, gap, ..., gap
+    of = np.repeat(np.arange(n), length(words))
+    for first, one, begin in ((0, gaps, 0), (len(gap), words, 1)):
+        many = length(one)
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        piece[np.repeat(ends[:-1], many) + 2 * nth + begin] = first + np.arange(many.sum())
+    text = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([gap, new]).take(pa.array(piece))), "")
+    count = lambda which: pa.array(np.bincount(of[which], minlength=n))
+    return pa.StructArray.from_arrays([text, count(hit & sign), count(hit & ~sign)], ["text", "marked", "doubled"], mask=words.is_null())
+
+
 def repaired(texts: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Texts with every damaged word that has an answer repaired; adds ``marked`` and ``doubled``, how many were.
 
@@ -110,17 +139,15 @@ def repaired(texts: DataFrame, dictionary: DataFrame, id_col: str, text_col: str
     # Of each text only its distinct words that may change are shuffled, and then the text once.
     hurt = texts.where(F.col(text_col).contains(LOST)).select(F.col(id_col).alias("id"), split(F.col(text_col)).alias("words"))
     may = hurt.select("id", F.explode(F.array_distinct(F.filter("words", lambda w: (sign(w) & w.rlike(r"\p{L}")) | _may_lack_t(w)))).alias("word"))
-    fixes = cut(marked_repairs(may.where(sign(F.col("word"))), dictionary).unionByName(dropped_tt(may.where(~sign(F.col("word"))), dictionary)))
-    fixed = may.join(fixes, "word").groupBy(F.col("id").alias(id_col)).agg(F.map_from_entries(F.collect_set(F.struct("word", "fixed"))).alias("_fixes"))
-    d = texts.join(fixed, id_col, "left").withColumn("_words", F.when(F.col("_fixes").isNotNull(), split(F.col(text_col))))
-    new = F.transform("_words", lambda w: F.coalesce(F.try_element_at("_fixes", w), w))
-    gaps = F.split(text_col, letters, -1)
-    text = F.array_join(F.concat(F.flatten(F.zip_with(F.slice(gaps, 1, F.size("_words")), new, lambda g, w: F.array(g, w))), F.array(F.element_at(gaps, -1))), "")
-    count = lambda kind: F.coalesce(F.size(F.filter("_words", lambda w: F.map_contains_key(F.col("_fixes"), w) & kind(w))), F.lit(0)).cast("long")
+    seen = cut(may.select("word").distinct())
+    fixes = cut(marked_repairs(seen.where(sign(F.col("word"))), dictionary).unionByName(dropped_tt(seen.where(~sign(F.col("word"))), dictionary)))
+    fixed = may.join(fixes, "word").groupBy(F.col("id").alias(id_col)).agg(F.collect_set(F.struct("word", "fixed")).alias("_fixes"))
+    d = texts.join(fixed, id_col, "left")
     touched = F.col("_fixes").isNotNull() & F.col(text_col).contains(LOST)
-    none = F.lit(0).cast("long")
-    d = d.withColumns({"marked": F.when(touched, count(sign)).otherwise(none), "doubled": F.when(touched, count(lambda w: ~sign(w))).otherwise(none)})
-    return d.withColumn(text_col, F.when(touched, text).otherwise(F.col(text_col))).drop("_fixes", "_words")
+    put = F.arrow_udf(rewritten, "struct<text:string,marked:bigint,doubled:bigint>")
+    d = d.withColumn("_new", put(F.when(touched, split(F.col(text_col))), F.when(touched, F.split(text_col, letters, -1)), "_fixes"))
+    count = lambda n: F.coalesce(f"_new.{n}", F.lit(0).cast("long"))
+    return d.withColumns({"marked": count("marked"), "doubled": count("doubled"), text_col: F.coalesce("_new.text", text_col)}).drop("_fixes", "_new")
 
 
 def first_cell(items: DataFrame, cells: DataFrame, page: str, snap: float) -> DataFrame:

@@ -66,3 +66,23 @@ def test_all_steps(spark):
         assert got[i] == (text, sum(changed), len(changed) - sum(changed))
     assert got[0][0] == "section attention timeframes impactful narratively Microsoft" and got[0][1:] == (6, 0)
     assert "written attempt Written tatoo letters matter" in got[1][0] and got[1][2] == 5
+
+
+def test_words_are_put_back_a_batch_at_a_time(spark):
+    """No lookup in a map for each word, which took the square of a text's words; gaps, null and unhurt texts stay."""
+    d = spark.createDataFrame(list(LISTED.items()), "word string, tier int")
+    texts = {1: "\n sec�on, \tatempt-sec�on �", 2: None, 3: "atempt sec-on", 4: "�?", 5: "sec�on" * 1 + " me�?" * 3 + " sec�on", 6: "12 � 34 �me's\u00bd�me "}
+    out = words.repaired(spark.createDataFrame(list(texts.items()), "id int, text string"), d, "id", "text")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "element_at" not in plan and "map_contains_key" not in plan
+    assert {r.id: (r.text, r.marked, r.doubled) for r in out.collect()} == {
+        1: ("\n section, \tattempt-section �", 2, 1), 2: (None, 0, 0), 3: ("atempt sec-on", 0, 0), 4: ("�?", 0, 0),
+        5: ("section" + " me�?" * 3 + " section", 2, 0), 6: ("12 � 34 time's½time ", 2, 0),
+    }
+
+
+def test_forms_of_the_dictionary(spark):
+    d = spark.createDataFrame([("time", 10), ("times", 40), ("bus", 20)], "word string, tier int")
+    w = spark.createDataFrame([(x,) for x in ("Times", "TIME", "buss", "bus", "bu", "none")], "word string")
+    assert {r.word: r.tier for r in words.tier_of(w, d).collect()} == {"Times": 40, "TIME": 10, "buss": 20, "bus": 20, "bu": None, "none": None}
+    assert words.tier_of(w, d)._jdf.queryExecution().executedPlan().toString().count("Join") == 1
