@@ -15,6 +15,7 @@ LIGATURES = ("ti", "tti", "ft", "tt", "fi", "fl", "ff", "ffi", "ffl", "tf", "th"
 LOST = "\ufffd"
 MAX_SLOTS = 3
 COMMON = 60  # the highest tier of a common word
+FEW = 1024  # repairs of words that lost a t that tasks know without a join
 # What may be added to a common word of at least so many letters.
 SUFFIXES = ("ly", "ful", "ness", "less")
 LEAST_STEM = 4
@@ -83,7 +84,7 @@ def marked_repairs(marked: DataFrame, dictionary: DataFrame, word: str = "word")
     """
     # A word becomes up to 1,331 candidates, so even few words are dealt to many tasks.
     damaged = marked.select(F.col(word).alias("word")).distinct().repartition(4 * marked.sparkSession.sparkContext.defaultParallelism, "word")
-    listed = best_candidates(damaged, dictionary)
+    listed = cut(best_candidates(damaged, dictionary))  # read twice, and most candidates are made for it
     each = damaged.join(listed, "word", "left_anti").select(F.col("word").alias("damaged"), F.posexplode(candidates(F.col("word"))).alias("pos", "word"))
     doubled = each.select("damaged", "pos", F.posexplode(with_doubled_t(F.col("word"))).alias("nth", "word"))
     twice = tier_of(doubled, dictionary).where("tier is not null").groupBy("damaged").agg(F.min_by("word", F.struct("tier", "pos", "nth")).alias("fixed"))
@@ -139,8 +140,12 @@ def repaired(texts: DataFrame, dictionary: DataFrame, id_col: str, text_col: str
     # Of each text only its distinct words that may change are shuffled, and then the text once.
     hurt = texts.where(F.col(text_col).contains(LOST)).select(F.col(id_col).alias("id"), split(F.col(text_col)).alias("words"))
     may = hurt.select("id", F.explode(F.array_distinct(F.filter("words", lambda w: (sign(w) & w.rlike(r"\p{L}")) | _may_lack_t(w)))).alias("word"))
-    seen = cut(may.select("word").distinct())
+    dictionary, seen = cut(dictionary), cut(may.select("word").distinct())
     fixes = cut(marked_repairs(seen.where(sign(F.col("word"))), dictionary).unionByName(dropped_tt(seen.where(~sign(F.col("word"))), dictionary)))
+    # Words that lost a t are few among those that may have: as long as they are, the others stay where they are.
+    few = [r.word for r in fixes.where(~sign(F.col("word"))).select("word").limit(FEW + 1).collect()]
+    if len(few) <= FEW:
+        may = may.where(sign(F.col("word")) | F.col("word").isin(few))
     fixed = may.join(fixes, "word").groupBy(F.col("id").alias(id_col)).agg(F.collect_set(F.struct("word", "fixed")).alias("_fixes"))
     d = texts.join(fixed, id_col, "left")
     touched = F.col("_fixes").isNotNull() & F.col(text_col).contains(LOST)
